@@ -1 +1,220 @@
-"""Model queries (I, L rows); rows only, as trees and solvers differ between engines."""
+"""Model queries (I, K, L rows).
+
+Rows only where trees or solvers differ between engines. The forests are smaller than
+the defaults so the check stays short; every query trains on the whole table.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tabwright.catalog.encounters import encounters, with_encounters
+from tabwright.catalog.registry import query
+from tabwright.operators.learn import (
+    ModelOutcome,
+    best_model,
+    compare,
+    cross_validate,
+    fit_vectors,
+    run_protocol,
+    train,
+    with_scores,
+)
+from tabwright.operators.metrics import label_metrics
+from tabwright.operators.prepare import vector_names
+from tabwright.operators.select import assemble, ranked_importances
+from tabwright.operators.split import part, stratified_folds, stratified_split
+from tabwright.params import FeatureParams, ModelParams, SplitParams, WorkflowParams
+from tabwright.plans.exploration import ExplorationParams, clean_table, encode_table, run_exploration
+from tabwright.plans.features import derive_features
+from tabwright.plans.scoring import Scorer, score_files
+from tabwright.plans.training import run_training
+from tabwright.session import settle, shared_folder
+from tabwright.sources.models import save_model
+from tabwright.streaming.scoring import score_arriving_files
+
+SMALL_FOREST = ModelParams(settings={"numTrees": 20, "maxDepth": 5})
+SMALL_MODELS = {
+    "logistic_regression": {"maxIter": 50},
+    "decision_tree": {"maxDepth": 8, "minInstancesPerNode": 5},
+    "random_forest": {"numTrees": 10, "maxDepth": 5, "minInstancesPerNode": 5},
+    "naive_bayes": {},
+}
+
+
+def raw_encounters(spark, folder) -> DataFrame:
+    """Encounters with the age as a bracket text, as the exploratory flow reads it."""
+    table = encounters(spark, folder)
+    return table.drop("age").withColumnRenamed("age_bracket", "age")
+
+
+def modelling_table(spark, folder) -> DataFrame:
+    """Encounters with derived features, written once as training passes over them often."""
+    return settle(derive_features(encounters(spark, folder), FeatureParams()))
+
+
+def vectors(spark, folder) -> DataFrame:
+    """Encoded encounters as ``features`` and ``label`` with the key, written once."""
+    table, features = encode_table(settle(clean_table(raw_encounters(spark, folder))), "encounter_id")
+    stored = settle(table)
+    return assemble(stored, features).select(
+        "encounter_id", "features", F.col("label").cast("double").alias("label")
+    )
+
+
+def train_and_test(spark, folder) -> tuple[DataFrame, DataFrame]:
+    table = vectors(spark, folder)
+    split = stratified_split(table, "encounter_id", "label").assign(table)
+    return part(split, "train"), part(split, "test")
+
+
+def metrics_of(name: str, spark, folder) -> DataFrame:
+    train_rows, test_rows = train_and_test(spark, folder)
+    fitted = fit_vectors(train_rows, name, 100, SMALL_MODELS[name])
+    scored = with_scores(fitted.transform(test_rows))
+    return label_metrics(scored, "label", "prediction", "score", 1.0)
+
+
+@query("i1_forest_metrics")
+def _(spark, folder):
+    table = modelling_table(spark, folder)
+    model = train(table, FeatureParams(), SMALL_FOREST)
+    return label_metrics(Scorer(model).predict(table), "readmitted", "prediction")
+
+
+@query("i6_logistic_regression")
+def _(spark, folder):
+    return metrics_of("logistic_regression", spark, folder)
+
+
+@query("i7_decision_tree")
+def _(spark, folder):
+    return metrics_of("decision_tree", spark, folder)
+
+
+@query("i8_random_forest")
+def _(spark, folder):
+    return metrics_of("random_forest", spark, folder)
+
+
+@query("i9_naive_bayes", with_encounters("""
+, t AS (SELECT encounter_id, CAST(age AS DOUBLE) AS a, CAST(coalesce(num_lab_procedures, 0) AS DOUBLE) AS b,
+    CASE WHEN readmitted = '<30' THEN 1 ELSE 0 END AS label FROM encounters),
+e AS (SELECT 1e-9 * greatest(var_pop(a), var_pop(b)) AS eps, count(*) AS n FROM t),
+c AS (SELECT label, ln(count(*) / CAST(max(n) AS DOUBLE)) AS prior, avg(a) AS ma, avg(b) AS mb,
+    var_pop(a) + max(eps) AS va, var_pop(b) + max(eps) AS vb FROM t, e GROUP BY label),
+l AS (SELECT encounter_id, c.label, prior - 0.5 * (ln(2 * pi() * va) + (a - ma) * (a - ma) / va)
+    - 0.5 * (ln(2 * pi() * vb) + (b - mb) * (b - mb) / vb) AS loglik FROM t, c),
+p AS (SELECT encounter_id, max(CASE WHEN label = 1 THEN loglik END) - max(CASE WHEN label = 0 THEN loglik END) AS odds FROM l GROUP BY 1)
+SELECT encounter_id, CASE WHEN odds > 0 THEN 1.0 ELSE 0.0 END AS prediction, round(1 / (1 + exp(-odds)), 6) AS score FROM p
+"""))
+def _(spark, folder):
+    table = encounters(spark, folder).select(
+        "encounter_id", F.col("age").cast("double").alias("a"),
+        F.coalesce(F.col("num_lab_procedures"), F.lit(0)).cast("double").alias("b"),
+        (F.col("readmitted") == "<30").cast("double").alias("label"),
+    )
+    rows = assemble(table, ["a", "b"])
+    scored = with_scores(fit_vectors(rows, "naive_bayes").transform(rows))
+    return scored.select("encounter_id", "prediction", F.round("score", 6).alias("score"))
+
+
+@query("i10_cross_validation")
+def _(spark, folder):
+    rows = vectors(spark, folder)
+    folded = stratified_folds(rows, "encounter_id", "label", 5).assign(rows, "fold").persist()
+    scores = cross_validate(folded, "naive_bayes", 5)
+    folded.unpersist()
+    table = [(str(i), s) for i, s in enumerate(scores.scores)] + [("mean", scores.mean), ("std", scores.std)]
+    return spark.createDataFrame(table, "fold string, accuracy double")
+
+
+def _outcomes(spark, folder, names) -> list[ModelOutcome]:
+    train_rows, test_rows = train_and_test(spark, folder)
+    folded = stratified_folds(train_rows, "encounter_id", "label", 3).assign(train_rows, "fold").persist()
+    found = [run_protocol(folded, test_rows, n, 3, settings=SMALL_MODELS[n]) for n in names]
+    folded.unpersist()
+    return found
+
+
+@query("i11_protocol_reports")
+def _(spark, folder):
+    outcomes = _outcomes(spark, folder, ["naive_bayes", "decision_tree"])
+    return reduce(DataFrame.unionByName, (o.report().withColumn("model", F.lit(o.name)) for o in outcomes))
+
+
+@query("i14_predict_with_confidence")
+def _(spark, folder):
+    table = modelling_table(spark, folder)
+    model = train(table, FeatureParams(), SMALL_FOREST)
+    scored = Scorer(model).predict_with_confidence(table, 0.8)
+    return scored.select("encounter_id", "prediction", "confidence", "high_confidence")
+
+
+@query("j13_model_comparison")
+def _(spark, folder):
+    return compare(_outcomes(spark, folder, ["naive_bayes", "logistic_regression"]), vectors(spark, folder))
+
+
+@query("j14_best_model")
+def _(spark, folder):
+    outcomes = _outcomes(spark, folder, ["naive_bayes", "decision_tree"])
+    return best_model(compare(outcomes, encounters(spark, folder)))
+
+
+@query("k3_forest_importances")
+def _(spark, folder):
+    rows = vectors(spark, folder)
+    fitted = fit_vectors(rows, "random_forest", 100, SMALL_MODELS["random_forest"])
+    names = vector_names(rows)
+    return ranked_importances(rows, names, fitted.featureImportances.toArray(), ascending=True)
+
+
+@query("l1_training_run")
+def _(spark, folder):
+    params = WorkflowParams(
+        features=FeatureParams(select_k=6), split=SplitParams(), model=SMALL_FOREST,
+    )
+    result = run_training(encounters(spark, folder), shared_folder(spark), params)
+    return result.validation.withColumn("part", F.lit("validation")).unionByName(
+        result.test.withColumn("part", F.lit("test"))
+    )
+
+
+@query("l2_exploration")
+def _(spark, folder):
+    params = ExplorationParams(
+        keep=8, step=4, trees=10, max_depth=5, folds=3, models=SMALL_MODELS
+    )
+    return run_exploration(raw_encounters(spark, folder), params).comparison
+
+
+@query("l3_batch_scoring")
+def _(spark, folder):
+    root = shared_folder(spark)
+    table = modelling_table(spark, folder)
+    save_model(train(table, FeatureParams(), SMALL_FOREST), f"{root}/model")
+    score_files(f"{root}/model", table, f"{root}/predictions")
+    stored = spark.read.csv(
+        f"{root}/predictions", header=True, schema="prediction string, probability double, confidence double"
+    )
+    return stored.groupBy("prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("confidence").alias("mean_confidence")
+    )
+
+
+@query("l3_stream_scoring")
+def _(spark, folder):
+    root = shared_folder(spark)
+    table = modelling_table(spark, folder)
+    table.write.parquet(f"{root}/arriving")
+    scorer = Scorer(train(table, FeatureParams(), SMALL_FOREST))
+    run = score_arriving_files(
+        spark, scorer, f"{root}/arriving", table.schema, f"{root}/scored", f"{root}/progress"
+    )
+    run.awaitTermination()
+    stored = spark.read.parquet(f"{root}/scored")
+    return stored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))

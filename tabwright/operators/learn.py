@@ -137,13 +137,16 @@ class FoldScores:
 def cross_validate(
     df: DataFrame, name: str, folds: int = 10, fold_column: str = "fold", seed: int = 100,
     settings: dict | None = None, parallelism: int = 2,
+    resample: Callable[[DataFrame], DataFrame] | None = None,
 ) -> FoldScores:
     """Accuracy of each fold by a model of the other folds.
 
     ``df`` has ``features``, ``label`` and the fold column; hold it before the call.
+    ``resample`` changes the training rows of each round and leaves the judged ones alone.
     """
     def one(fold: int) -> float:
-        fitted = fit_vectors(df.filter(F.col(fold_column) != fold), name, seed, settings)
+        others = df.filter(F.col(fold_column) != fold)
+        fitted = fit_vectors(others if resample is None else resample(others), name, seed, settings)
         judged = fitted.transform(df.filter(F.col(fold_column) == fold))
         return judged.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
 
@@ -178,10 +181,13 @@ class ModelOutcome:
 def run_protocol(
     train_df: DataFrame, test_df: DataFrame, name: str, folds: int = 10, seed: int = 100,
     settings: dict | None = None, parallelism: int = 2,
+    resample: Callable[[DataFrame], DataFrame] | None = None,
 ) -> ModelOutcome:
     """Cross-validate, fit on all training rows, score the test rows."""
-    scores = cross_validate(train_df, name, folds, seed=seed, settings=settings, parallelism=parallelism)
-    fitted = fit_vectors(train_df, name, seed, settings)
+    scores = cross_validate(
+        train_df, name, folds, seed=seed, settings=settings, parallelism=parallelism, resample=resample
+    )
+    fitted = fit_vectors(train_df if resample is None else resample(train_df), name, seed, settings)
     scored = with_scores(fitted.transform(test_df))
     accuracy = scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
     return ModelOutcome(name, scores, accuracy, fitted, scored)

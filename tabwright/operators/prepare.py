@@ -141,17 +141,18 @@ def fit_preparation(
 
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(expressions)} FROM __THIS__")]
     if levels:
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [values for _, values in levels.values()],
-            inputCols=["level__" + c for c in levels],
-            outputCols=["index__" + c for c in levels],
-            handleInvalid="keep",
-        )
+        # one indexer per column: the constructor for several pads short label lists
+        stages += [
+            StringIndexerModel.from_labels(
+                values, inputCol="level__" + c, outputCol="index__" + c, handleInvalid="keep"
+            )
+            for c, (_, values) in levels.items()
+        ]
         encoder = OneHotEncoder(
             inputCols=["index__" + c for c in levels], outputCols=["cat__" + c for c in levels], dropLast=True
         )
-        # the sizes are in the indexer's metadata, so this fit reads no data
-        stages += [indexer, encoder.fit(indexer.transform(stages[0].transform(df)))]
+        # the sizes are in the indexers' metadata, so this fit reads no data
+        stages.append(encoder.fit(PipelineModel(stages).transform(df)))
     stages.append(VectorAssembler(
         inputCols=["num__" + c for c in stats] + ["cat__" + c for c in levels], outputCol=into,
         handleInvalid="error",
