@@ -12,6 +12,7 @@ from tabwright.operators.metrics import (
     label_metrics,
     precision_recall_curve,
     roc_auc,
+    roc_auc_by_class,
     roc_curve,
 )
 from tabwright.session import shared_folder
@@ -82,8 +83,9 @@ WITH {PER_CLASS} SELECT round(a, 8) AS accuracy, round(f, 8) AS f1, round(p, 8)
 """)
 def _(spark, folder):
     path = shared_folder(spark)
-    write_metrics_csv(label_metrics(scored_orders(spark, folder), "actual", "predicted"), path)
-    stored = spark.read.csv(path, header=True, schema="accuracy double, f1 double, precision double, recall double")
+    names = ("accuracy", "f1", "precision", "recall")
+    write_metrics_csv(label_metrics(scored_orders(spark, folder), "actual", "predicted"), path, names)
+    stored = spark.read.csv(path, header=True, schema=", ".join(f"{n} double" for n in names))
     return rounded(stored, *stored.columns)
 
 
@@ -92,6 +94,24 @@ def _(spark, folder):
     return rounded(roc_auc(scored_orders(spark, folder)), "auc", places=10)
 
 
+def _one_class_auc(score):
+    return f"""(SELECT sum(neg * (2 * tp - pos) / 2.0) / (sum(pos) * CAST(sum(neg) AS DOUBLE)) FROM (
+      SELECT pos, neg, sum(pos) OVER (ORDER BY x DESC) AS tp FROM (
+        SELECT {score[1]} AS x, count_if(actual = '{score[0]}') AS pos, count_if(actual <> '{score[0]}') AS neg FROM s GROUP BY 1)))"""
+
+
+_CLASS_SCORES = (("F", "score"), ("O", "1 - score"), ("P", "abs(score - 0.5)"))
+
+
+@query("j7_auc_over_classes", f"""
+WITH {SCORED} SELECT round(({' + '.join(map(_one_class_auc, _CLASS_SCORES))}) / 3.0, 10) AS auc
+""")
+def _(spark, folder):
+    score = F.col("score")
+    scored = scored_orders(spark, folder).withColumn("p", F.array(score, 1 - score, F.abs(score - 0.5)))
+    return rounded(roc_auc_by_class(scored, "actual", "p", ["F", "O", "P"]), "auc", places=10)
+
+
 @query("j8_confusion_matrix", f"""
 WITH {SCORED}, v AS (SELECT actual AS class FROM s UNION SELECT predicted FROM s)
 SELECT a.class AS actual, p.class AS predicted,

@@ -221,6 +221,30 @@ def roc_auc(
     return points.agg(*trapezoid_sums()).select(trapezoid_area().alias("auc"))
 
 
+def roc_auc_by_class(
+    scored: DataFrame, label: str, probabilities: str, labels: Sequence, buckets: int | None = None
+) -> DataFrame:
+    """AUC of the class probabilities (an array column in the order of ``labels``).
+
+    Two classes: the second against the first. More: the mean over each class against the
+    others (J7). One row, column ``auc``.
+    """
+    if len(labels) == 2:
+        ones = [1]
+    else:
+        ones = range(len(labels))
+    parts = [
+        roc_auc(
+            scored.select(quoted(label).alias("label"), F.get(quoted(probabilities), F.lit(i)).alias("score")),
+            "label", "score", labels[i], buckets,
+        )
+        for i in ones
+    ]
+    areas = reduce(DataFrame.unionByName, parts)
+    # undefined as soon as one class is
+    return areas.agg(F.when(F.count("auc") == len(parts), F.avg("auc")).alias("auc"))
+
+
 def trapezoid_sums():
     """Aggregates of score points that :func:`trapezoid_area` divides."""
     # each step in fp spans the running tp before and after it

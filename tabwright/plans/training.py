@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.functions import positive_probability
 from tabwright.operators.clean import keep_declared, numeric_columns
-from tabwright.operators.learn import class_labels, train
-from tabwright.operators.metrics import label_metrics
+from tabwright.operators.learn import train
+from tabwright.operators.metrics import label_metrics, roc_auc_by_class
 from tabwright.operators.prepare import impute
 from tabwright.operators.quality import all_passed, check_all
 from tabwright.operators.select import best_by_anova
@@ -50,6 +51,15 @@ def prepare_and_train(
     return train(train_df, chosen, params.model), chosen
 
 
+def evaluate(scored: DataFrame, target: str, labels: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """The named metrics of a scored table, AUC from its array of class probabilities."""
+    table = label_metrics(scored, target, "prediction", metrics=metrics)
+    if "roc_auc" not in metrics:
+        return table
+    area = roc_auc_by_class(scored, target, "probability", labels)
+    return table.unionByName(area.select(F.lit("roc_auc").alias("metric"), F.col("auc").alias("value")))
+
+
 def run_training(
     data: DataFrame, out: str, params: WorkflowParams = WorkflowParams()
 ) -> TrainingResult | None:
@@ -74,17 +84,25 @@ def run_training(
     run_id = runs.new_run()
     runs.log_params(spark, f"{out}/runs", run_id, {"name": params.model.name, **params.model.settings}, model_path)
 
+    # one scoring pass feeds all metrics and the prediction file
     scorer = Scorer(model, chosen)
-    positive = sorted(class_labels(train_df, f.target))[-1]
+    judged = scorer.predict_with_confidence(
+        stored.filter(F.col("split").isin("validation", "test")), params.confidence_threshold
+    ).withColumn("probability", vector_to_array("probability"))
+    judged.write.partitionBy("split").mode("overwrite").parquet(f"{out}/scored")
+    scored = spark.read.schema(judged.schema).parquet(f"{out}/scored")
+
+    labels = model.stages[-1].getLabels()
     results = {}
-    for name, rows in (("validation", validation_df), ("test", test_df)):
-        scored = scorer.score(rows).withColumn("score", positive_probability(F.col("probability")))
-        metrics = label_metrics(scored, f.target, "prediction", "score", positive, params.metrics)
-        write_metrics_csv(metrics, f"{out}/{name}_metrics")
-        results[name] = spark.read.csv(f"{out}/{name}_metrics", header=True, inferSchema=True)
-    stored_metrics = results["validation"]
-    runs.log_metrics(stored_metrics.unpivot([], stored_metrics.columns, "metric", "value"), f"{out}/runs", run_id)
-
-    predictions = scorer.predict_with_confidence(test_df, params.confidence_threshold)
+    for name in ("validation", "test"):
+        metrics = evaluate(part(scored, name), f.target, labels, params.metrics)
+        write_metrics_csv(metrics, f"{out}/{name}_metrics", params.metrics)
+        results[name] = spark.read.csv(
+            f"{out}/{name}_metrics", header=True, schema=", ".join(f"{m} double" for m in params.metrics)
+        )
+    long = results["validation"].unpivot([], list(params.metrics), "metric", "value")
+    runs.log_metrics(long, f"{out}/runs", run_id)
+
+    predictions = part(scored, "test")
     write_labelled_predictions(predictions, f.target, f"{out}/predictions")
     return TrainingResult(model, list(chosen.numeric), results["validation"], results["test"], predictions)
