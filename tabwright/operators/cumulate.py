@@ -6,6 +6,7 @@ and cumulated on its own, and gets the total of the buckets before it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -22,7 +23,7 @@ def bucket_edges(df: DataFrame, order: str, buckets: int | None = None) -> list[
         return []
     shares = [i / buckets for i in range(1, buckets)]
     edges = df.agg(F.percentile_approx(order, shares, 10 * buckets)).first()[0]
-    return sorted({float(e) for e in edges or []})
+    return sorted({float(e) for e in edges or [] if math.isfinite(e)})
 
 
 def running_totals(
@@ -34,10 +35,7 @@ def running_totals(
     shared by many rows is one row here. ``all_<s>`` is the grand total, ``next_<s>``
     the value on the following row. The table is used twice; Spark reuses the exchange that produced it.
     """
-    splits = [-float("inf"), *edges, float("inf")]
-    tagged = Bucketizer(
-        splits=splits, inputCol=order, outputCol="__bucket", handleInvalid="error"
-    ).transform(table).withColumn("__bucket", F.col("__bucket").cast("int"))
+    tagged = _tagged(table, order, edges)
 
     # one row per bucket, at most MAX_BUCKETS: the window below and the broadcast are small
     totals = tagged.groupBy("__bucket").agg(
@@ -59,7 +57,8 @@ def running_totals(
     following: list[Column] = [
         F.coalesce(F.lead(s).over(local), F.col(f"__next_{s}")).alias(f"next_{s}") for s in sums
     ]
-    return tagged.join(F.broadcast(offsets), "__bucket").select(
+    # a left join, as an inner one adds a filter to one use of the table and so prevents reuse
+    return tagged.join(F.broadcast(offsets), "__bucket", "left").select(
         *table.columns,
         *((F.sum(s).over(running) + F.col(f"__before_{s}")).alias(f"cum_{s}") for s in sums),
         *(F.col(f"__all_{s}").alias(f"all_{s}") for s in sums),
@@ -67,5 +66,13 @@ def running_totals(
     )
 
 
+def _tagged(table: DataFrame, order: str, edges: Sequence[float]) -> DataFrame:
+    if not edges:
+        return table.withColumn("__bucket", F.lit(0))
+    splits = [-math.inf, *edges, math.inf]
+    buckets = Bucketizer(splits=splits, inputCol=order, outputCol="__bucket", handleInvalid="error")
+    return buckets.transform(table).withColumn("__bucket", F.col("__bucket").cast("int"))
+
+
 def _default_buckets(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -84,7 +84,7 @@ PAIRS = [("NO", "NO")] * 5 + [("NO", "YES")] * 2 + [("YES", "YES")] * 4 + [("YES
 def test_label_metrics_agree_with_spark_ml(spark):
     frame = labelled(spark, PAIRS)
     found = {r["metric"]: r["value"] for r in m.label_metrics(frame).collect()}
-    codes = frame.select(*(F.element_at(F.create_map(*map(F.lit, ["NO", 0.0, "YES", 1.0, "ODD", 2.0])), c).alias(c)
+    codes = frame.select(*(F.element_at(F.create_map(*map(F.lit, ["NO", 0.0, "YES", 1.0, "ODD", 2.0])), F.col(c)).alias(c)
                            for c in ("label", "prediction")))
     for name, theirs in (("accuracy", "accuracy"), ("precision", "weightedPrecision"),
                          ("recall", "weightedRecall"), ("f1", "f1")):
