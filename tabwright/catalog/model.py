@@ -53,13 +53,13 @@ def raw_encounters(spark, folder) -> DataFrame:
 
 def modelling_table(spark, folder) -> DataFrame:
     """Encounters with derived features, written once as training passes over them often."""
-    return settle(derive_features(encounters(spark, folder), FeatureParams()))
+    return settle(derive_features(encounters(spark, folder), FeatureParams()), spread=True)
 
 
 def vectors(spark, folder) -> DataFrame:
     """Encoded encounters as ``features`` and ``label`` with the key, written once."""
     table, features = encode_table(settle(clean_table(raw_encounters(spark, folder))), "encounter_id")
-    stored = settle(table)
+    stored = settle(table, spread=True)
     return assemble(stored, features).select(
         "encounter_id", "features", F.col("label").cast("double").alias("label")
     )

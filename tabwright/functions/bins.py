@@ -41,20 +41,23 @@ def code_group(
     Null, empty and non-numeric codes, and the V and E supplements, are ``other``:
     none of them parses as a number, so no range matches.
     """
-    number = to_number(code)
-    group = None
-    for name, ranges in groups:
-        inside = None
-        for low, high in ranges:
-            one = number.between(low, high)
-            inside = one if inside is None else inside | one
-        group = F.when(inside, name) if group is None else group.when(inside, name)
-    return group.otherwise(other)
+    def grouped(number: Column) -> Column:
+        group = None
+        for name, ranges in groups:
+            inside = None
+            for low, high in ranges:
+                one = number.between(low, high)
+                inside = one if inside is None else inside | one
+            group = F.when(inside, name) if group is None else group.when(inside, name)
+        return group.otherwise(other)
+
+    # the number is bound once; spelled out it would be parsed again for every range
+    return F.get(F.transform(F.array(to_number(code)), grouped), F.lit(0))
 
 
 def bracket_midpoint(bracket: Column) -> Column:
     """Mean of the two integers in a text such as ``[10-20)``, else null."""
-    numbers = F.regexp_extract_all(bracket, F.lit(r"(\d+)"), F.lit(1))
-    first = F.get(numbers, F.lit(0)).try_cast("double")
-    second = F.get(numbers, F.lit(1)).try_cast("double")
-    return F.when(F.size(numbers) == 2, (first + second) / F.lit(2.0))
+    low, high = (
+        F.regexp_extract(bracket, r"^\D*(\d+)\D+(\d+)\D*$", i).try_cast("double") for i in (1, 2)
+    )
+    return (low + high) / F.lit(2.0)

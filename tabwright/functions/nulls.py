@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from tabwright.params import MISSING_LEVEL, SENTINELS
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_SPECIAL = r"(?i)^\s*[+-]?(inf|infinity)\s*$"
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 _LARGEST = 1.7976931348623157e308
 
 
@@ -32,9 +31,7 @@ def to_number(text: Column) -> Column:
     such as ``1d``. The text ``nan`` counts as missing.
     """
     text = text.cast("string")
-    finite = F.when(text.rlike(_NUMBER), F.trim(text))
-    infinite = F.when(text.rlike(_SPECIAL), F.trim(text))
-    return F.coalesce(finite, infinite).try_cast("double")
+    return F.when(text.rlike(_NUMBER), F.trim(text)).try_cast("double")
 
 
 def fill_missing(value: Column, level: str = MISSING_LEVEL) -> Column:

@@ -1,8 +1,8 @@
 """Exact quantiles of any number of columns.
 
-The built-in exact percentile keeps every distinct value in one buffer, which is right
-for columns with few values and wrong for a long column of doubles. So columns with few
-distinct values use it, and for the others an open interval around each wanted rank is
+Exact percentiles of a frequency table need every distinct value in one place, which is
+right for columns with few values and wrong for a long column of doubles. So columns with
+few distinct values are counted by value, and for the others an open interval around each wanted rank is
 narrowed by approximate quantiles and exact counts until few values are left inside.
 Each round is one aggregate over all open intervals; only its one row is shuffled.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,9 +71,11 @@ def exact_quantiles(
     result: dict[str, list[float | None]] = {c: [None] * len(shares) for c in names}
     few = [c for c in names if facts[c]["n"] and facts[c]["d"] <= few_values]
     if few:
-        row = numbers.agg(*(F.percentile(c, list(shares)).alias(c) for c in few)).first()
-        for c in few:
-            result[c] = list(row[c])
+        # each distinct value is one row by then, about few_values per column
+        counted = numbers.unpivot([], few, "c", "v").filter(F.col("v").isNotNull()).groupBy("c", "v").count()
+        found = counted.groupBy("c").agg(F.percentile("v", list(shares), F.col("count")).alias("q"))
+        for row in found.collect():
+            result[row["c"]] = list(row["q"])
 
     many = [c for c in names if facts[c]["n"] and facts[c]["d"] > few_values]
     ranks: dict[tuple[str, int], _Rank] = {}
@@ -109,7 +112,8 @@ def _resolve(numbers: DataFrame, ranks: list[_Rank], fetch_limit: int) -> None:
         *(F.when(r.test(), F.struct(F.lit(i).alias("i"), F.col(r.column).alias("v")))
           for i, r in enumerate(rest))
     ))
-    counted = numbers.select(F.explode(held).alias("x")).groupBy("x.i", "x.v").count()
+    inside = numbers.filter(reduce(lambda a, b: a | b, (r.test() for r in rest)))
+    counted = inside.select(F.explode(held).alias("x")).groupBy("x.i", "x.v").count()
     values: dict[int, list] = {i: [] for i in range(len(rest))}
     for row in counted.collect():
         values[row["i"]].append((row["v"], row["count"]))
@@ -125,15 +129,24 @@ def _resolve(numbers: DataFrame, ranks: list[_Rank], fetch_limit: int) -> None:
 def _narrow(numbers: DataFrame, ranks: list[_Rank]) -> None:
     """Shrink each interval to a few times ``1 / accuracy`` of its rows."""
     margin = 2.0 / _ACCURACY
-    guesses = numbers.agg(
+    # ranks of a column that still share an interval share one sketch
+    shared: dict[tuple, list[_Rank]] = {}
+    for r in ranks:
+        shared.setdefault((r.column, r.low, r.high), []).append(r)
+    sketched = numbers.agg(
         *(F.percentile_approx(
-            F.when(r.test(), F.col(r.column)), [r.share(-margin), r.share(margin)], _ACCURACY
-        ).alias(f"g{i}") for i, r in enumerate(ranks))
+            F.when(group[0].test(), F.col(group[0].column)),
+            [r.share(step) for r in group for step in (-margin, margin)], _ACCURACY,
+        ).alias(f"g{i}") for i, group in enumerate(shared.values()))
     ).first()
+    guesses: dict[int, tuple[float, float]] = {}
+    for i, group in enumerate(shared.values()):
+        for j, r in enumerate(group):
+            guesses[id(r)] = (sketched[f"g{i}"][2 * j], sketched[f"g{i}"][2 * j + 1])
     measures = []
     for i, r in enumerate(ranks):
         x = F.col(r.column)
-        low, high = guesses[f"g{i}"]
+        low, high = guesses[id(r)]
         between = r.test() & (x > low) & (x < high)
         measures.append(F.struct(
             F.count_if(x < low).alias("below"),
@@ -144,7 +157,7 @@ def _narrow(numbers: DataFrame, ranks: list[_Rank]) -> None:
         ).alias(f"m{i}"))
     measured = numbers.agg(*measures).first()
     for i, r in enumerate(ranks):
-        low, high = guesses[f"g{i}"]
+        low, high = guesses[id(r)]
         m = measured[f"m{i}"]
         first_inside = m["below"] + m["at_low"]
         if r.rank < m["below"]:

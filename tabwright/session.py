@@ -19,6 +19,8 @@ def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # one partition per core already; coalescing would leave stored tables with one file
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -38,9 +40,19 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, spread: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: its lineage ends there,
-    and a lost executor costs no recomputation."""
-    path = shared_folder(df.sparkSession)
+    and a lost executor costs no recomputation.
+
+    With ``spread``, a table stored in fewer pieces than there are cores is dealt out
+    again; only a small one is, and repeated fits would leave most cores idle on it.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    # a bare scan: counting its partitions runs nothing
+    if spread and stored.rdd.getNumPartitions() < cores:
+        return stored.repartition(cores)
+    return stored

@@ -24,7 +24,7 @@ def full_curve(labels, scores):
     return points
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 12)), min_size=2, max_size=60), st.integers(1, 9))
 def test_roc_curve_properties(spark, pairs, buckets):
     labels, scores = [p[0] for p in pairs] + [0, 1], [p[1] / 4 for p in pairs] + [1.0, 2.0]

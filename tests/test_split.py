@@ -20,7 +20,7 @@ def test_three_way_sizes(spark):
     assert counts == {"train": 70, "validation": 10, "test": 20}
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(n=st.integers(1, 400), seed=st.integers(0, 5))
 def test_split_is_exact_disjoint_and_stable(spark, n, seed):
     frame = numbered(spark, n)

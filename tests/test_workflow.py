@@ -176,8 +176,8 @@ def raw_rows(spark, modelling_rows):
 @pytest.mark.parametrize("fold_safe", [False, True])
 def test_exploration_job(spark, modelling_rows, fold_safe):
     params = ExplorationParams(
-        keep=4, step=8, trees=5, max_depth=4, folds=2, fold_safe=fold_safe,
-        models={"naive_bayes": {}, "random_forest": {"numTrees": 5, "maxDepth": 4}},
+        keep=4, step=20, trees=5, max_depth=3, folds=2, fold_safe=fold_safe,
+        models={"naive_bayes": {}, "random_forest": {"numTrees": 3, "maxDepth": 3}},
     )
     result = run_exploration(raw_rows(spark, modelling_rows), params)
     assert len(result.selected) == 4 and "age_midpoint" in result.selected
