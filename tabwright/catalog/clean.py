@@ -20,6 +20,7 @@ from tabwright.functions import (
     to_number,
 )
 from tabwright.operators.clean import (
+    columns_like,
     drop_columns,
     exclude_values,
     keep_declared,
@@ -229,6 +230,19 @@ def _(spark, folder):
     )
 
 
+@query("f7_sum_by_name_pattern", """
+SELECT l_orderkey, l_partkey, l_linenumber,
+  round(coalesce(nullif(l_extendedprice, 0), 0) + coalesce(nullif(l_discount, 0.05), 0), 6) AS total FROM lineitem
+""")
+def _(spark, folder):
+    lines = parquet(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", F.col("l_extendedprice").alias("Amount_price"),
+        F.nullif("l_discount", F.lit(0.05)).alias("amount_discount"),
+    )
+    total = row_sum(F.col(c) for c in columns_like(lines, "AMOUNT"))
+    return lines.select("l_orderkey", "l_partkey", "l_linenumber", F.round(total, 6).alias("total"))
+
+
 @query("f8_text_to_number", f"""
 WITH t AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '12d' WHEN event_id % 7 = 1 THEN ' 1e3 '
   WHEN event_id % 7 = 2 THEN 'abc' WHEN event_id % 7 = 3 THEN '' ELSE CAST(value AS VARCHAR) END AS x FROM events)

@@ -16,7 +16,8 @@ from tabwright.operators.metrics import (
     roc_curve,
 )
 from tabwright.session import shared_folder
-from tabwright.sources.sinks import write_metrics_csv
+from tabwright.sources import runs
+from tabwright.sources.sinks import write_metrics_csv, write_metrics_json
 from tabwright.sources.tables import parquet
 
 SCORED = """
@@ -89,6 +90,31 @@ def _(spark, folder):
     return rounded(stored, *stored.columns)
 
 
+@query("b3_metrics_json", f"""
+WITH {PER_CLASS} SELECT round(a, 8) AS accuracy, round(f, 8) AS f1, round(p, 8) AS "precision", round(q, 8) AS recall FROM w
+""")
+def _(spark, folder):
+    path = shared_folder(spark)
+    names = ("accuracy", "f1", "precision", "recall")
+    write_metrics_json(label_metrics(scored_orders(spark, folder), "actual", "predicted"), path, names)
+    stored = spark.read.json(path, schema=", ".join(f"{n} double" for n in names))
+    return rounded(stored, *stored.columns)
+
+
+@query("b9_run_table", f"""
+WITH {PER_CLASS}
+SELECT 'metric' AS kind, 'accuracy' AS key, round(a, 8) AS value FROM w UNION ALL SELECT 'metric', 'precision', round(p, 8) FROM w
+UNION ALL SELECT 'metric', 'recall', round(q, 8) FROM w UNION ALL SELECT 'metric', 'f1', round(f, 8) FROM w
+UNION ALL SELECT 'param', 'limit', 150000.0
+""")
+def _(spark, folder):
+    path, run_id = shared_folder(spark), runs.new_run()
+    runs.log_params(spark, path, run_id, {"limit": 150000.0})
+    runs.log_metrics(label_metrics(scored_orders(spark, folder), "actual", "predicted"), path, run_id)
+    logged = runs.read_runs(spark, path).filter(F.col("run_id") == run_id)
+    return logged.select("kind", "key", F.round(F.col("value").cast("double"), 8).alias("value"))
+
+
 @query("j5_roc_auc", f"WITH {SCORED} {POINTS} SELECT round(auc, 10) AS auc FROM ({_AUC})")
 def _(spark, folder):
     return rounded(roc_auc(scored_orders(spark, folder)), "auc", places=10)
