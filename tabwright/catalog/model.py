@@ -32,7 +32,7 @@ from tabwright.plans.exploration import ExplorationParams, clean_table, encode_t
 from tabwright.plans.features import derive_features
 from tabwright.plans.scoring import Scorer, score_files
 from tabwright.plans.training import run_training
-from tabwright.session import settle, shared_folder
+from tabwright.session import laid_out, settle, shared_folder
 from tabwright.sources.models import save_model
 from tabwright.streaming.scoring import score_arriving_files
 
@@ -53,13 +53,13 @@ def raw_encounters(spark, folder) -> DataFrame:
 
 def modelling_table(spark, folder) -> DataFrame:
     """Encounters with derived features, written once as training passes over them often."""
-    return settle(derive_features(encounters(spark, folder), FeatureParams()), spread=True)
+    return laid_out(settle(derive_features(encounters(spark, folder), FeatureParams())), "encounter_id")
 
 
 def vectors(spark, folder) -> DataFrame:
     """Encoded encounters as ``features`` and ``label`` with the key, written once."""
     table, features = encode_table(settle(clean_table(raw_encounters(spark, folder))), "encounter_id")
-    stored = settle(table, spread=True)
+    stored = laid_out(settle(table), "encounter_id")
     return assemble(stored, features).select(
         "encounter_id", "features", F.col("label").cast("double").alias("label")
     )

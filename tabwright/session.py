@@ -30,29 +30,40 @@ def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path under the folder the cluster shares for checkpoints.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in
-    tests on one machine, a temporary folder is set in its place.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a session on
+    one machine gets a temporary folder; on a cluster that is an error, as executors would
+    not see each other's files. The path is removed when the application ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tabwright-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
-def settle(df: DataFrame, spread: bool = False) -> DataFrame:
+def settle(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: its lineage ends there,
-    and a lost executor costs no recomputation.
-
-    With ``spread``, a table stored in fewer pieces than there are cores is dealt out
-    again; only a small one is, and repeated fits would leave most cores idle on it.
-    """
-    spark = df.sparkSession
-    path = shared_folder(spark)
+    and a lost executor costs no recomputation."""
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    # a bare scan: counting its partitions runs nothing
-    if spread and stored.rdd.getNumPartitions() < cores:
-        return stored.repartition(cores)
-    return stored
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*stored: DataFrame) -> None:
+    """Remove tables made by :func:`settle` that nothing reads any more."""
+    for df in stored:
+        spark = df.sparkSession
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def laid_out(df: DataFrame, *key: str, parts: int = 32) -> DataFrame:
+    """Rows dealt by a hash of the key into a fixed number of sorted partitions. Fits that draw
+    samples per partition then do not depend on the files or the cores."""
+    return df.repartition(parts, *key).sortWithinPartitions(*key)
