@@ -4,13 +4,15 @@ Categories are predicted one after the other by logistic models over the same wo
 later model also sees the probabilities of the earlier ones. Those are out-of-fold predictions
 when the later model is fitted, so it learns from them as they will be on new texts.
 
-The vocabulary is counted by Spark over the sample of labelled documents: the words whose
-presence goes with the label by the likelihood-ratio statistic. The models are fitted on that
+The vocabulary is counted by Spark over the sample of labelled documents: the words, and the
+starts of longer words, whose presence goes with the label by the likelihood-ratio statistic. Word
+starts catch the forms of a stem. The models are fitted on that
 sample, whose bound is a parameter. Scoring is one narrow pass over all texts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -47,23 +49,38 @@ class Toxicity:
         return [*(name for name, _ in self.seeds), "toxic"]
 
 
+#: Bytes of a word's start.
+STEM = 6
+
+
+def tokens(text: bytes | None) -> tuple[Counter, int]:
+    """How often each word and each start of a longer word (marked ``~``) stands in a text, and the
+    number of words."""
+    words = Counter(words_of((text or b"").lower()))
+    out = Counter(words)
+    for word, n in words.items():
+        if len(word) > STEM:
+            out[word[:STEM] + b"~"] += n
+    return out, sum(words.values())
+
+
 @dataclass
 class Chain:
-    vocabulary: list[str]
+    vocabulary: list[bytes]
     models: list[np.ndarray] = field(default_factory=list)
     threshold: float = 0.5
 
     def __post_init__(self):
-        self.place = {w.encode(): i for i, w in enumerate(self.vocabulary)}
+        self.place = {w: i for i, w in enumerate(self.vocabulary)}
 
     def features(self, text: bytes | None) -> np.ndarray:
-        """Presence of each word, and how many and what share of the text they are."""
-        words = words_of((text or b"").lower())
+        """Log counts of the vocabulary, and how many and what share of the text they are."""
+        counts, n = tokens(text)
         out = np.zeros(len(self.place) + 2)
-        hits = [i for w in words if (i := self.place.get(w)) is not None]
-        out[hits] = 1.0
-        out[-2:] = np.log1p(len(hits)), len(hits) / (len(words) or 1)
-        return out
+        for token in counts.keys() & self.place.keys():
+            out[self.place[token]] = counts[token]
+        hits = out.sum()
+        return np.append(np.log1p(out[:-2]), [np.log1p(hits), hits / (n or 1)])
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         """One column per category, each model fed with the columns before."""
@@ -72,8 +89,8 @@ class Chain:
         return x[:, len(self.place) + 2:]
 
 
-def words_by_label(rows: DataFrame, settings: Toxicity) -> list[str]:
-    """The words that go with the label: doc_id, text, y -> at most ``vocabulary`` words."""
+def words_by_label(rows: DataFrame, settings: Toxicity) -> list[bytes]:
+    """The words and word starts that go with the label: doc_id, text, y -> at most ``vocabulary``."""
     totals = rows.agg(F.sum("y"), F.count(F.lit(1))).first()
     positive, n = float(totals[0] or 0), float(totals[1] or 0)
     if not 0 < positive < n:
@@ -81,14 +98,14 @@ def words_by_label(rows: DataFrame, settings: Toxicity) -> list[str]:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(set(words_of((t or b"").lower()))) for t in byte_texts(batch.column(0))]
+            found = [list(tokens(t)[0]) for t in byte_texts(batch.column(0))]
             for at in range(0, len(found), 256):
                 some = found[at: at + 256]
                 marks = np.repeat(batch.column(1).to_numpy()[at: at + 256], [len(f) for f in some])
-                yield pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for f in some for w in f], pa.string()),
+                yield pa.RecordBatch.from_arrays([pa.array([w for f in some for w in f], pa.binary()),
                                                   pa.array(marks, pa.int32())], names=["word", "y"])
 
-    counts = rows.select("text", F.col("y").cast("int").alias("y")).mapInArrow(cut, "word string, y int").groupBy("word").agg(
+    counts = rows.select("text", F.col("y").cast("int").alias("y")).mapInArrow(cut, "word binary, y int").groupBy("word").agg(
         F.sum("y").cast("double").alias("a"), F.count(F.lit(1)).cast("double").alias("m")).where(
         (F.col("m") >= settings.least_documents) & (F.col("a") / F.col("m") > positive / n))
 
@@ -99,7 +116,7 @@ def words_by_label(rows: DataFrame, settings: Toxicity) -> list[str]:
     rest_a, rest = F.lit(positive) - a, F.lit(n) - m
     gain = 2 * (part(a, m, share) + part(m - a, m, 1 - share) + part(rest_a, rest, share) + part(rest - rest_a, rest, 1 - share))
     best = counts.withColumn("gain", gain).where(F.col("gain") > settings.least_gain).orderBy(F.desc("gain"), "word").limit(settings.vocabulary)
-    return [r["word"] for r in best.collect()]
+    return [bytes(r["word"]) for r in best.collect()]
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, settings: Toxicity = Toxicity()) -> Chain:
@@ -134,7 +151,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, settings: Toxicity = Toxicity(
             held_out[~inside] = predict(x[~inside], fit_logistic(x[inside], target[inside]))
         chain.models.append(fit_logistic(x, target))
         x = np.hstack([x, held_out[:, None]])
-    chain.threshold = _best_threshold(held_out, y)
+    chain.threshold = max(0.5, _best_threshold(held_out, y))
     return chain
 
 

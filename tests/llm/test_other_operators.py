@@ -261,7 +261,7 @@ def test_the_chain_feeds_earlier_probabilities(spark):
     chain = toxicity.fit_chain(table(spark, rows), table(spark, marks, "doc_id long, quality int, toxic int"), settings)
     width = len(chain.vocabulary) + 2
     assert [len(w) for w in chain.models] == [width + 1, width + 2, width + 3] and chain.models[2][-3] > 0
-    assert {"idiot", "clown", "scum", "trash"} <= set(chain.vocabulary)
+    assert {b"idiot", b"clown", b"scum", b"trash"} <= set(chain.vocabulary)
 
 
 def test_toxicity_without_labels(spark):
