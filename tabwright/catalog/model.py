@@ -1,7 +1,7 @@
 """Model queries (I, K, L rows).
 
-Rows only where trees or solvers differ between engines. The forests are smaller than
-the defaults so the check stays short; every query trains on the whole table.
+Rows only where trees or solvers differ between engines. Every query trains on the whole table at
+the default settings, the whole exploration excepted.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tabwright.catalog.encounters import encounters, with_encounters
 from tabwright.catalog.registry import query
 from tabwright.operators.learn import (
+    COMPARED,
     ModelOutcome,
     best_model,
     compare,
@@ -27,7 +28,7 @@ from tabwright.operators.metrics import label_metrics
 from tabwright.operators.prepare import vector_names
 from tabwright.operators.select import assemble, ranked_importances
 from tabwright.operators.split import part, stratified_folds, stratified_split
-from tabwright.params import FeatureParams, ModelParams, SplitParams, WorkflowParams
+from tabwright.params import FeatureParams, ModelParams, WorkflowParams
 from tabwright.plans.exploration import ExplorationParams, clean_table, encode_table, run_exploration
 from tabwright.plans.features import derive_features
 from tabwright.plans.scoring import Scorer, score_files
@@ -36,15 +37,6 @@ from tabwright.session import laid_out, settle, shared_folder
 from tabwright.sources.models import save_model
 from tabwright.streaming.scoring import score_arriving_files
 
-SMALL_FOREST = ModelParams(settings={"numTrees": 20, "maxDepth": 5})
-SMALL_MODELS = {
-    "logistic_regression": {"maxIter": 50},
-    "decision_tree": {"maxDepth": 8, "minInstancesPerNode": 5},
-    "random_forest": {"numTrees": 10, "maxDepth": 5, "minInstancesPerNode": 5},
-    "naive_bayes": {},
-}
-
-
 def raw_encounters(spark, folder) -> DataFrame:
     """Encounters with the age as a bracket text, as the exploratory flow reads it."""
     table = encounters(spark, folder)
@@ -73,7 +65,7 @@ def train_and_test(spark, folder) -> tuple[DataFrame, DataFrame]:
 
 def metrics_of(name: str, spark, folder) -> DataFrame:
     train_rows, test_rows = train_and_test(spark, folder)
-    fitted = fit_vectors(train_rows, name, 100, SMALL_MODELS[name])
+    fitted = fit_vectors(train_rows, name, 100, COMPARED[name])
     scored = with_scores(fitted.transform(test_rows))
     return label_metrics(scored, "label", "prediction", "score", 1.0)
 
@@ -81,7 +73,7 @@ def metrics_of(name: str, spark, folder) -> DataFrame:
 @query("i1_forest_metrics")
 def _(spark, folder):
     table = modelling_table(spark, folder)
-    model = train(table, FeatureParams(), SMALL_FOREST)
+    model = train(table, FeatureParams(), ModelParams())
     return label_metrics(Scorer(model).predict(table), "readmitted", "prediction")
 
 
@@ -125,8 +117,8 @@ def _(spark, folder):
 @query("i10_cross_validation")
 def _(spark, folder):
     rows = vectors(spark, folder)
-    folded = stratified_folds(rows, "encounter_id", "label", 5).assign(rows, "fold").persist()
-    scores = cross_validate(folded, "naive_bayes", 5)
+    folded = stratified_folds(rows, "encounter_id", "label", 10).assign(rows, "fold").persist()
+    scores = cross_validate(folded, "naive_bayes", 10)
     folded.unpersist()
     table = [(str(i), s) for i, s in enumerate(scores.scores)] + [("mean", scores.mean), ("std", scores.std)]
     return spark.createDataFrame(table, "fold string, accuracy double")
@@ -134,8 +126,8 @@ def _(spark, folder):
 
 def _outcomes(spark, folder, names) -> list[ModelOutcome]:
     train_rows, test_rows = train_and_test(spark, folder)
-    folded = stratified_folds(train_rows, "encounter_id", "label", 3).assign(train_rows, "fold").persist()
-    found = [run_protocol(folded, test_rows, n, 3, settings=SMALL_MODELS[n]) for n in names]
+    folded = stratified_folds(train_rows, "encounter_id", "label", 10).assign(train_rows, "fold").persist()
+    found = [run_protocol(folded, test_rows, n, 10, settings=COMPARED[n]) for n in names]
     folded.unpersist()
     return found
 
@@ -149,7 +141,7 @@ def _(spark, folder):
 @query("i14_predict_with_confidence")
 def _(spark, folder):
     table = modelling_table(spark, folder)
-    model = train(table, FeatureParams(), SMALL_FOREST)
+    model = train(table, FeatureParams(), ModelParams())
     scored = Scorer(model).predict_with_confidence(table, 0.8)
     return scored.select("encounter_id", "prediction", "confidence", "high_confidence")
 
@@ -168,17 +160,14 @@ def _(spark, folder):
 @query("k3_forest_importances")
 def _(spark, folder):
     rows = vectors(spark, folder)
-    fitted = fit_vectors(rows, "random_forest", 100, SMALL_MODELS["random_forest"])
+    fitted = fit_vectors(rows, "random_forest", 100, COMPARED["random_forest"])
     names = vector_names(rows)
     return ranked_importances(rows, names, fitted.featureImportances.toArray(), ascending=True)
 
 
 @query("l1_training_run")
 def _(spark, folder):
-    params = WorkflowParams(
-        features=FeatureParams(select_k=6), split=SplitParams(), model=SMALL_FOREST,
-    )
-    result = run_training(encounters(spark, folder), shared_folder(spark), params)
+    result = run_training(encounters(spark, folder), shared_folder(spark), WorkflowParams())
     return result.validation.withColumn("part", F.lit("validation")).unionByName(
         result.test.withColumn("part", F.lit("test"))
     )
@@ -186,17 +175,16 @@ def _(spark, folder):
 
 @query("l2_exploration")
 def _(spark, folder):
-    params = ExplorationParams(
-        keep=8, step=4, trees=10, max_depth=5, folds=3, models=SMALL_MODELS
-    )
-    return run_exploration(raw_encounters(spark, folder), params).comparison
+    # one pass of elimination per four columns and three folds: all of step 1 and 10 folds is
+    # dozens of forests of 100 full-depth trees
+    return run_exploration(raw_encounters(spark, folder), ExplorationParams(keep=8, step=4, folds=3)).comparison
 
 
 @query("l3_batch_scoring")
 def _(spark, folder):
     root = shared_folder(spark)
     table = modelling_table(spark, folder)
-    save_model(train(table, FeatureParams(), SMALL_FOREST), f"{root}/model")
+    save_model(train(table, FeatureParams(), ModelParams()), f"{root}/model")
     score_files(f"{root}/model", table, f"{root}/predictions")
     stored = spark.read.csv(
         f"{root}/predictions", header=True, schema="prediction string, probability double, confidence double"
@@ -211,7 +199,7 @@ def _(spark, folder):
     root = shared_folder(spark)
     table = modelling_table(spark, folder)
     table.write.parquet(f"{root}/arriving")
-    scorer = Scorer(train(table, FeatureParams(), SMALL_FOREST))
+    scorer = Scorer(train(table, FeatureParams(), ModelParams()))
     run = score_arriving_files(
         spark, scorer, f"{root}/arriving", table.schema, f"{root}/scored", f"{root}/progress"
     )

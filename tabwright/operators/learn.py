@@ -28,7 +28,9 @@ MAX_CLASSES = 100
 
 
 def _forest(rows: int, seed: int, **settings):
-    return RandomForestClassifier(seed=seed, featureSubsetStrategy="sqrt", **settings)
+    # 30 is the greatest depth Spark allows; the memory lets a level of many nodes be one pass
+    return RandomForestClassifier(
+        seed=seed, featureSubsetStrategy="sqrt", **{"maxDepth": 30, "maxMemoryInMB": 1024, **settings})
 
 
 def _tree(rows: int, seed: int, **settings):
@@ -143,6 +145,7 @@ def cross_validate(
 
     ``df`` has ``features``, ``label`` and the fold column; hold it before the call.
     ``resample`` changes the training rows of each round and leaves the judged ones alone.
+    A fold without rows is an error: the mean would be of fewer folds than asked for.
     """
     def one(fold: int) -> float:
         others = df.filter(F.col(fold_column) != fold)
@@ -155,7 +158,9 @@ def cross_validate(
         scores = pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds))
     finally:
         pool.close()
-    return FoldScores(tuple(s for s in scores if s is not None))
+    if empty := [i for i, s in enumerate(scores) if s is None]:
+        raise ValueError(f"folds without rows: {empty}")
+    return FoldScores(tuple(scores))
 
 
 @dataclass(frozen=True)

@@ -53,12 +53,14 @@ def value_counts_by_column(
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """Summary of text and numeric columns, one row each.
+    """Summary of all columns, one row each (E2); nested columns as their JSON-like text.
 
-    Text: count, unique, top, freq (lowest value on a tie). Numeric: count, mean, sample
+    Text, dates, timestamps, booleans: count, unique, top, freq (lowest value on a tie). Numeric: count, mean, sample
     deviation, min, exact linear quartiles, max.
     """
-    numerics, texts = numeric_columns(df), string_columns(df)
+    numerics = numeric_columns(df)
+    texts = [c for c in df.columns if c not in numerics]
+    df = df.withColumns({c: quoted(c).cast("string") for c in texts if df.schema[c].dataType.typeName() != "string"})
     empty = {"unique": "long", "top": "string", "freq": "long", "mean": "double", "std": "double",
              "min": "double", "q25": "double", "q50": "double", "q75": "double", "max": "double"}
 
@@ -150,8 +152,9 @@ def class_balance(df: DataFrame, label: str, parts: str | None = None) -> DataFr
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins over the column's range, last bin closed, empty bins kept."""
-    x = quoted(column).cast("double")
+    """Equal-width bins over the column's range, last bin closed, empty bins kept (E8). NaN counts
+    as null."""
+    x = F.nanvl(quoted(column).cast("double"), F.lit(None).cast("double"))
     edges = F.min(x).alias("low"), F.max(x).alias("high")
     low, high = df.agg(*edges).first()
     if low is None:
@@ -179,9 +182,9 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth on an even grid over the range.
 
     Works on distinct values with their counts; the grid is fixed, so the sums per grid
-    point combine on the map side.
+    point combine on the map side. NaN counts as null.
     """
-    x = quoted(column).cast("double")
+    x = F.nanvl(quoted(column).cast("double"), F.lit(None).cast("double"))
     facts = df.agg(
         F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high"),
         F.stddev_samp(x).alias("std"),

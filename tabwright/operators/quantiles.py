@@ -91,7 +91,9 @@ def exact_quantiles(
             position = (n - 1) * p
             a = ranks[c, math.floor(position)].value
             b = ranks[c, math.ceil(position)].value
-            result[c][i] = a + (b - a) * (position - math.floor(position))
+            part = position - math.floor(position)
+            # weighted like Spark's percentile, so that infinities give the same on either path
+            result[c][i] = a if a == b or part == 0 else (1 - part) * a + part * b
     return {column: result[name] for column, name in zip(columns, names)}
 
 

@@ -49,7 +49,9 @@ REQUIRED = (
 INTEGER_COLUMNS = ("encounter_id", "patient_nbr", "age")
 
 AGE_EDGES = (0, 10, 20, 30, 40, 50, 60, 70, 80, 90, 100)
-AGE_LABELS = tuple(f"[{a}-{a + 10})" for a in AGE_EDGES[:-1])
+AGE_LABELS = (
+    "[0-10)", "[10-20)", "[20-30)", "[30-40)", "[40-50)", "[50-60)", "[60-70)", "[70-80)", "[80-90)", "[90-100)",
+)
 STAY_EDGES = (0, 3, 7, 14, 30)
 STAY_LABELS = ("short", "medium", "long", "very_long")
 
@@ -71,17 +73,14 @@ DIAGNOSIS_GROUPS = (
 DIAGNOSIS_OTHER = "Other"
 
 ID_CATEGORIES = ("admission_type_id", "discharge_disposition_id", "admission_source_id")
-DRUGS = (
+LEVEL_COLUMNS = (
+    "race", "gender", "max_glu_serum", "A1Cresult",
     "metformin", "repaglinide", "nateglinide", "chlorpropamide", "glimepiride",
     "acetohexamide", "glipizide", "glyburide", "tolbutamide", "pioglitazone",
     "rosiglitazone", "acarbose", "miglitol", "troglitazone", "tolazamide", "insulin",
     "glyburide-metformin", "glipizide-metformin", "glimepiride-pioglitazone",
     "metformin-rosiglitazone", "metformin-pioglitazone",
-)
-LEVEL_COLUMNS = (
-    ("race", "gender", "max_glu_serum", "A1Cresult")
-    + DRUGS
-    + ("change", "diabetesMed", "diag_1_category", "diag_2_category", "diag_3_category")
+    "change", "diabetesMed", "diag_1_category", "diag_2_category", "diag_3_category",
 )
 COUNT_COLUMNS = (
     "time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications",

@@ -17,13 +17,19 @@ def read_csv(
     path: str,
     schema: T.StructType | str | None = None,
     na_tokens: Sequence[str] = NA_TOKENS,
+    multiline: bool = True,
 ) -> DataFrame:
     """Headered CSV (A1). Pass a schema for large inputs: inference reads the files twice.
 
     A cell whose whole text is an NA token is null; the text ``None`` stays a level.
     Cells are read as text and then cast, so a token never makes a number column text.
+
+    Quoted cells may hold line breaks. A file is one task then; for large files without such cells
+    pass ``multiline=False``, which splits them and raises at a row with too few or too many cells.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
+    raw = spark.read.csv(
+        path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline,
+        mode="PERMISSIVE" if multiline else "FAILFAST", columnPruning=multiline)
     texts = raw.select(*(F.when(~quoted(c).isin(*na_tokens), quoted(c)).alias(c) for c in raw.columns))
     if schema is None:
         wanted = _inferred(texts)
