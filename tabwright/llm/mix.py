@@ -91,7 +91,7 @@ def source_targets(sources: DataFrame, settings: Mix = Mix()) -> DataFrame:
 
 def fit_lengths(length: np.ndarray, count: np.ndarray, budget: int, window: int) -> np.ndarray:
     """How many documents of each length to take so that their words come to ``budget`` exactly or
-    as near below it as the lengths allow within the last ``window`` words. Lengths are positive
+    as near to it as the lengths allow within the last ``window`` words. Lengths are positive
     and distinct."""
     taken = np.zeros(len(length), np.int64)
     total = int((length * count).sum())
@@ -124,22 +124,27 @@ def fit_lengths(length: np.ndarray, count: np.ndarray, budget: int, window: int)
 
 
 def _knapsack(length: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded knapsack over reachable sums, as bit sets: the largest sum up to ``budget``."""
+    """Bounded knapsack over reachable sums, as bit sets: the sum nearest to ``budget``, the lower of
+    two. A sum beyond twice the budget is further off than none at all."""
     taken = np.zeros(len(length), np.int64)
-    usable = np.flatnonzero((length <= budget) & (count > 0))
-    full = (1 << (budget + 1)) - 1
+    usable = np.flatnonzero((length <= 2 * budget) & (count > 0))
+    full = (1 << (2 * budget + 1)) - 1
     sums, steps = 1, []
     for i in usable.tolist():
-        left, size = min(int(count[i]), budget // int(length[i])), 1
+        left, size = min(int(count[i]), 2 * budget // int(length[i])), 1
         while left:
             size = min(size, left)
             steps.append((i, size, sums))
             sums |= (sums << (size * int(length[i]))) & full
             left -= size
             size *= 2
-        if sums >> budget:
+        if sums >> budget & 1:
             break
-    at = sums.bit_length() - 1
+    at = (sums & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = sums >> budget
+    over = (above & -above).bit_length() - 1
+    if above and over < budget - at:
+        at = budget + over
     for i, size, before in reversed(steps):
         if not before >> at & 1:
             taken[i] += size
