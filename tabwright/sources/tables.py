@@ -27,9 +27,9 @@ def read_csv(
     Quoted cells may hold line breaks. A file is one task then; for large files without such cells
     pass ``multiline=False``, which splits them and raises at a row with too few or too many cells.
     """
-    raw = spark.read.csv(
+    raw = spark.read.option("columnPruning", multiline).csv(
         path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline,
-        mode="PERMISSIVE" if multiline else "FAILFAST", columnPruning=multiline)
+        mode="PERMISSIVE" if multiline else "FAILFAST")
     texts = raw.select(*(F.when(~quoted(c).isin(*na_tokens), quoted(c)).alias(c) for c in raw.columns))
     if schema is None:
         wanted = _inferred(texts)

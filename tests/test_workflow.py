@@ -199,3 +199,12 @@ def test_stream_scoring_equals_batch(spark, trained, tmp_path):
     found = {r["encounter_id"]: r["prediction"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     expected = {r["encounter_id"]: r["prediction"] for r in Scorer(model).predict(table).collect()}
     assert found == expected
+
+
+def test_line_breaks_in_cells(spark, tmp_path):
+    file = tmp_path / "broken.csv"
+    file.write_text('id,note\n1,"first\nsecond"\n2,plain\n')
+    rows = sorted(map(tuple, read_csv(spark, str(file)).collect()))
+    assert rows == [(1, "first\nsecond"), (2, "plain")]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        read_csv(spark, str(file), schema="id long, note string", multiline=False).collect()
