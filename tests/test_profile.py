@@ -105,3 +105,22 @@ def test_balance_and_shape(spark):
     assert {r["type"]: r["columns"] for r in profile.type_counts(frame).collect()} == {"int": 1, "string": 1}
     assert tuple(profile.mean_and_deviation(frame.select(F.col("y").cast("double").alias("s")), "s").first()) == (
         pytest.approx((1 / 3, math.sqrt(2) / 3)))
+
+
+def test_infinities_on_both_paths_of_the_quantiles(spark):
+    rows = [(float("-inf"),)] * 3 + [(float(i),) for i in range(900)] + [(float("inf"),)] * 3
+    df = spark.createDataFrame(rows, "x double")
+    shares = [0, 0.001, 0.3, 0.5, 0.999, 1]
+    few = exact_quantiles(df, ["x"], shares)
+    assert exact_quantiles(df, ["x"], shares, few_values=1) == few and few["x"][0] == float("-inf")
+
+
+def test_nan_counts_as_null_in_a_histogram(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert sum(r["n"] for r in profile.histogram(df, "x", 4).collect()) == 2
+
+
+def test_describe_takes_every_column(spark):
+    df = spark.sql("SELECT 1 AS id, DATE'2020-01-02' AS day, true AS flag, 'a' AS s UNION ALL SELECT 2, DATE'2020-01-02', false, 'b'")
+    found = {r["column"]: r for r in profile.describe(df).collect()}
+    assert set(found) == {"id", "day", "flag", "s"} and found["day"]["top"] == "2020-01-02" and found["day"]["freq"] == 2
