@@ -34,7 +34,6 @@ HEADLINE = [
     "h1_three_way_split",
     "h3_stratified_folds",
     "i9_naive_bayes",
-    "i8_random_forest",
     "j1_label_metrics",
     "j5_roc_auc",
     "j9_roc_curve",
