@@ -18,6 +18,7 @@ from tabwright.operators.profile import (
     null_counts,
     sentinel_counts,
     shape,
+    type_counts,
     value_counts,
     value_shares,
 )
@@ -28,7 +29,7 @@ from tabwright.sources.tables import parquet
 
 _ORDERS = {
     "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
-    "o_orderpriority": "string",
+    "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
 }
 
 
@@ -40,12 +41,12 @@ _ORDERS = {
 ))
 def _(spark, folder):
     orders = parquet(spark, folder, "orders").withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
-    return column_profile(orders.select(*_ORDERS))
+    return column_profile(orders)
 
 
 @query("e1_column_profile_approx")
 def _(spark, folder):
-    return column_profile(parquet(spark, folder, "orders").select(*_ORDERS), exact=False)
+    return column_profile(parquet(spark, folder, "orders"), exact=False)
 
 
 def _describe_sql(numeric, text, table):
@@ -61,7 +62,7 @@ def _describe_sql(numeric, text, table):
             f"CAST(max({c}) AS DOUBLE) AS max FROM {table}"
         )
     for c in text:
-        top = f"(SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+        top = f"(SELECT CAST({c} AS VARCHAR) FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
         freq = f"(SELECT CAST(count(*) AS BIGINT) FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1)"
         nulls = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in ("mean", "std", "min", "q25", "q50", "q75", "max"))
         parts.append(
@@ -71,13 +72,15 @@ def _describe_sql(numeric, text, table):
     return " UNION ALL ".join(parts)
 
 
-_LINE_NUMERIC = ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
-_LINE_TEXT = ("l_returnflag", "l_linestatus")
+_LINE_NUMERIC = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+)
+_LINE_OTHER = ("l_returnflag", "l_linestatus", "l_shipdate")
 
 
-@query("e2_describe", _describe_sql(_LINE_NUMERIC, _LINE_TEXT, "lineitem"))
+@query("e2_describe", _describe_sql(_LINE_NUMERIC, _LINE_OTHER, "lineitem"))
 def _(spark, folder):
-    table = describe(parquet(spark, folder, "lineitem").select(*_LINE_NUMERIC, *_LINE_TEXT))
+    table = describe(parquet(spark, folder, "lineitem"))
     return table.withColumns({c: F.round(c, 6) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
@@ -97,17 +100,19 @@ def _(spark, folder):
     return value_shares(events, "event_type").withColumn("share", F.round("share", 8))
 
 
-_NULLABLE = (
-    "race", "gender", "age", "time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications",
-    "number_inpatient", "diag_1", "diag_2", "diag_3", "readmitted",
+_COLUMNS = (
+    "encounter_id", "patient_nbr", "race", "gender", "age", "age_bracket", "admission_type_id",
+    "discharge_disposition_id", "time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications",
+    "number_outpatient", "number_emergency", "number_inpatient", "number_diagnoses",
+    "diag_1", "diag_2", "diag_3", "readmitted",
 )
 
 
 @query("e5_null_counts", with_encounters("SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS n FROM encounters" for c in _NULLABLE
+    f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS n FROM encounters" for c in _COLUMNS
 ) + ") WHERE n > 0"))
 def _(spark, folder):
-    return null_counts(encounters(spark, folder).select(*_NULLABLE))
+    return null_counts(encounters(spark, folder))
 
 
 @query("e6_sentinel_counts", with_encounters("SELECT * FROM (" + " UNION ALL ".join(
@@ -156,6 +161,28 @@ def _(spark, folder):
     return table.withColumns({"x": F.round("x", 6), "density": F.round("density", 8)})
 
 
+@query("e9_density_of_prices", """
+WITH f AS (SELECT count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi,
+  stddev_samp(o_totalprice) * pow(count(*), -0.2) AS w FROM orders),
+g AS (SELECT CAST(i AS INTEGER) AS point, i * ((hi - lo) / 199.0) + lo AS x, w, n FROM f, (SELECT unnest(range(200)) AS i))
+SELECT point, round(max(x), 4) AS x, round(sum(exp(-pow((x - o_totalprice) / w, 2) / 2)) / max(n * w * sqrt(2 * pi())) * 1e6, 6) AS density
+FROM g, orders GROUP BY point
+""")
+def _(spark, folder):
+    table = density_curve(parquet(spark, folder, "orders"), "o_totalprice")
+    return table.withColumns({"x": F.round("x", 4), "density": F.round(F.col("density") * 1e6, 6)})
+
+
+@query("e11_type_counts", """
+SELECT CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type,
+  CAST(count(*) AS INTEGER) AS columns
+FROM duckdb_columns() WHERE table_name = 'lineitem' GROUP BY 1
+""")
+def _(spark, folder):
+    return type_counts(parquet(spark, folder, "lineitem"))
+
+
 @query("e12_medians", """
 SELECT 'l_quantity' AS "column", round(median(l_quantity), 6) AS median FROM lineitem
 UNION ALL SELECT 'l_extendedprice', round(median(l_extendedprice), 6) FROM lineitem

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.clean import numeric_columns, quoted
+from tabwright.session import settle
 
 
 def anova_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -32,19 +33,21 @@ def anova_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFram
         ).alias(name) for name, x in columns.items())
     )
     long = by_class.unpivot(["__class"], list(columns), "name", "s").select("name", "s.*")
-    # one entry per class in each group
-    grouped = long.groupBy("name").agg(
-        F.collect_list(F.struct("n", "mean", "within")).alias("classes"),
-        F.sum("n").alias("n"), F.sum("gaps").alias("gaps"), F.count(F.lit(1)).alias("k"),
-        F.sum("within").alias("within"),
-        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("mean"),
-    )
-    between = F.aggregate(
-        "classes", F.lit(0.0),
-        lambda total, c: total + c["n"] * (c["mean"] - F.col("mean")) * (c["mean"] - F.col("mean")),
+    # one row per class and feature, read twice: for the overall means, then for the spread around them
+    stored = settle(long)
+    totals = stored.groupBy("name").agg(
+        F.sum("n").alias("all"), F.sum("gaps").alias("gaps"), F.count(F.lit(1)).alias("k"),
+        F.sum("within").alias("inside"),
+        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("centre"),
     )
+    # as many rows as features
+    apart = F.col("mean") - F.col("centre")
+    spread = stored.join(F.broadcast(totals.select("name", "centre")), "name").groupBy("name").agg(
+        F.coalesce(F.sum(F.col("n") * apart * apart), F.lit(0.0)).alias("between"))
+    grouped = totals.join(F.broadcast(spread), "name")
+    between = F.col("between")
     above = F.try_divide(between, F.col("k") - 1)
-    below = F.try_divide(F.col("within"), F.col("n") - F.col("k"))
+    below = F.try_divide(F.col("inside"), F.col("all") - F.col("k"))
     f_value = F.when((below == 0) & (above > 0), F.lit(float("inf"))).otherwise(F.try_divide(above, below))
     position = F.substring("name", 2, 10).cast("int")
     names = F.array(*(F.lit(c) for c in features))
@@ -87,9 +90,10 @@ def assemble(df: DataFrame, features: Sequence[str], into: str = "features") ->
 
 def importance_ranking(
     df: DataFrame, features: Sequence[str], label: str, trees: int = 100, seed: int = 42,
-    max_depth: int = 10, top: int | None = None, ascending: bool = False,
+    max_depth: int = 30, top: int | None = None, ascending: bool = False,
 ) -> DataFrame:
-    """Forest importances as ``(feature, importance)``, best first."""
+    """Forest importances as ``(feature, importance)``, best first (G15, K1-K3). Depth 30 is the
+    greatest that Spark allows."""
     model = _forest(trees, seed, max_depth, label).fit(assemble(df.select(*map(quoted, features), quoted(label)), features))
     return ranked_importances(df, features, model.featureImportances.toArray(), top, ascending)
 
@@ -105,7 +109,7 @@ def ranked_importances(df: DataFrame, features, importances, top=None, ascending
 
 def recursive_elimination(
     df: DataFrame, features: Sequence[str], label: str, keep: int = 20, step: int = 1,
-    trees: int = 100, seed: int = 42, max_depth: int = 10,
+    trees: int = 100, seed: int = 42, max_depth: int = 30,
 ) -> tuple[list[str], dict[str, int]]:
     """Drop the least important features round by round.
 
