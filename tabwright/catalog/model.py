@@ -1,13 +1,16 @@
 """Model queries (I, K, L rows).
 
-Rows only where trees or solvers differ between engines. Every query trains on the whole table at
-the default settings, the whole exploration excepted.
+Rows only where trees or solvers differ between engines; the same saving, scoring, writing and
+judging also runs with Gaussian naive Bayes, which SQL can fit. Every query trains on the whole
+table at the default settings, the whole exploration excepted.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,7 @@ from tabwright.plans.scoring import Scorer, score_files
 from tabwright.plans.training import run_training
 from tabwright.session import laid_out, settle, shared_folder
 from tabwright.sources.models import save_model
+from tabwright.sources.sinks import write_labelled_predictions
 from tabwright.streaming.scoring import score_arriving_files
 
 def raw_encounters(spark, folder) -> DataFrame:
@@ -114,6 +118,200 @@ def _(spark, folder):
     return scored.select("encounter_id", "prediction", F.round("score", 6).alias("score"))
 
 
+_BAYES = FeatureParams(numeric=("age", "num_lab_procedures"), categorical=())
+
+# scaled columns a and b, their classes, and each row's class probabilities
+_BAYES_SQL = """
+, f AS (SELECT encounter_id, readmitted, CAST(age AS DOUBLE) AS a,
+    coalesce(CAST(num_lab_procedures AS DOUBLE), (SELECT median(num_lab_procedures) FROM encounters)) AS b FROM encounters),
+t AS (SELECT encounter_id, readmitted, (a - (SELECT avg(a) FROM f)) / (SELECT stddev_pop(a) FROM f) AS a,
+    (b - (SELECT avg(b) FROM f)) / (SELECT stddev_pop(b) FROM f) AS b FROM f),
+e AS (SELECT 1e-9 * greatest(var_pop(a), var_pop(b)) AS eps, count(*) AS n FROM t),
+c AS (SELECT readmitted AS label, ln(count(*) / CAST(max(n) AS DOUBLE)) AS prior, avg(a) AS ma, avg(b) AS mb,
+    var_pop(a) + max(eps) AS va, var_pop(b) + max(eps) AS vb FROM t, e GROUP BY 1),
+l AS (SELECT encounter_id, t.readmitted, label, prior - 0.5 * (ln(2 * pi() * va) + (a - ma) * (a - ma) / va)
+    - 0.5 * (ln(2 * pi() * vb) + (b - mb) * (b - mb) / vb) AS loglik FROM t, c),
+q AS (SELECT encounter_id, readmitted, label, loglik - max(loglik) OVER (PARTITION BY encounter_id) AS loglik FROM l),
+p AS (SELECT encounter_id, readmitted, label, exp(loglik) / sum(exp(loglik)) OVER (PARTITION BY encounter_id) AS p FROM q),
+s AS (SELECT encounter_id, any_value(readmitted) AS readmitted, arg_max(label, p) AS prediction, max(p) AS confidence,
+    sum(p) FILTER (label = '<30') AS p0, sum(p) FILTER (label = '>30') AS p1, sum(p) FILTER (label = 'NO') AS p2
+  FROM p GROUP BY encounter_id)
+"""
+
+
+def saved_bayes(spark, table: DataFrame) -> str:
+    """Folder of a naive Bayes model with its preparation, fitted on the table."""
+    path = f"{shared_folder(spark)}/model"
+    save_model(train(table, _BAYES, ModelParams(name="naive_bayes", settings={})), path)
+    return path
+
+
+@query("i5_class_probabilities", with_encounters(_BAYES_SQL + """
+SELECT encounter_id, round(p0, 6) AS p0, round(p1, 6) AS p1, round(p2, 6) AS p2 FROM s
+"""))
+def _(spark, folder):
+    table = encounters(spark, folder)
+    scored = Scorer.load(saved_bayes(spark, table), _BAYES).predict_proba(table)
+    parts = vector_to_array("probability")
+    return scored.select("encounter_id", *(F.round(F.get(parts, F.lit(i)), 6).alias(f"p{i}") for i in range(3)))
+
+
+@query("i14_confidence_of_saved_model", with_encounters(_BAYES_SQL + """
+SELECT encounter_id, prediction, round(p1, 6) AS score, round(confidence, 6) AS confidence,
+  confidence >= 0.8 AS high_confidence FROM s
+"""))
+def _(spark, folder):
+    table = encounters(spark, folder)
+    scored = Scorer.load(saved_bayes(spark, table), _BAYES).predict_with_confidence(table, 0.8)
+    return scored.select("encounter_id", "prediction", F.round("score", 6).alias("score"),
+                         F.round("confidence", 6).alias("confidence"), "high_confidence")
+
+
+@query("b4_prediction_files", with_encounters(_BAYES_SQL + """
+SELECT prediction, round(p1, 6) AS probability, round(confidence, 6) AS confidence FROM s
+"""))
+def _(spark, folder):
+    table = encounters(spark, folder)
+    path = saved_bayes(spark, table)
+    score_files(path, table, f"{path}-predictions", _BAYES)
+    stored = spark.read.csv(
+        f"{path}-predictions", header=True, schema="prediction string, probability double, confidence double"
+    )
+    return stored.withColumns({c: F.round(c, 6) for c in ("probability", "confidence")})
+
+
+@query("b5_labelled_prediction_files", with_encounters(_BAYES_SQL + """
+SELECT readmitted AS true_label, prediction AS predicted_label, round(confidence, 6) AS confidence_score FROM s
+"""))
+def _(spark, folder):
+    table = encounters(spark, folder)
+    path = saved_bayes(spark, table)
+    scored = Scorer.load(path, _BAYES).predict_with_confidence(table)
+    write_labelled_predictions(scored, _BAYES.target, f"{path}-labelled")
+    stored = spark.read.csv(
+        f"{path}-labelled", header=True, schema="true_label string, predicted_label string, confidence_score double"
+    )
+    return stored.withColumn("confidence_score", F.round("confidence_score", 6))
+
+
+@query("l3_streamed_predictions", with_encounters(_BAYES_SQL + """
+SELECT encounter_id, prediction, round(p1, 6) AS score, round(confidence, 6) AS confidence FROM s
+"""))
+def _(spark, folder):
+    table = encounters(spark, folder)
+    path = saved_bayes(spark, table)
+    table.write.parquet(f"{path}-arriving")
+    score_arriving_files(
+        spark, Scorer.load(path, _BAYES), f"{path}-arriving", table.schema, f"{path}-scored", f"{path}-progress"
+    ).awaitTermination()
+    return spark.read.parquet(f"{path}-scored").select(
+        "encounter_id", "prediction", F.round("score", 6).alias("score"), F.round("confidence", 6).alias("confidence"))
+
+
+def _folds_sql(rows: str, folds: int = 10) -> str:
+    """``(encounter_id, label, fold)`` of a table with ``encounter_id`` and ``label``."""
+    return f"""
+SELECT s.encounter_id, s.label, fold FROM (
+  SELECT encounter_id, label, row_number() OVER (PARTITION BY label
+    ORDER BY ('0x' || substr(md5(encounter_id || ':100'), 1, 15))::BIGINT, encounter_id) - 1 AS r FROM {rows}) s
+JOIN (
+  SELECT label, fold, sum(dealt) OVER (PARTITION BY label ORDER BY fold) AS stop,
+    sum(dealt) OVER (PARTITION BY label ORDER BY fold) - dealt AS start
+  FROM (SELECT label, i AS fold, (SELECT count(*) FROM range(n) t(p) WHERE (start + p) % {folds} = i) AS dealt
+    FROM (SELECT label, count(*) AS n, sum(count(*)) OVER (ORDER BY label) - count(*) AS start FROM {rows} GROUP BY label),
+      (SELECT unnest(range({folds})) AS i))) b
+ON s.label = b.label AND r >= start AND r < stop"""
+
+
+def _accuracy_sql(fit: str, judged: str, columns: str = "ab") -> str:
+    """``(round, accuracy)`` of naive Bayes; both tables hold ``round``, ``label`` and the columns."""
+    spread = ", ".join(f"var_pop({c})" for c in columns)
+    facts = ", ".join(f"avg({c}) AS m{c}, var_pop({c}) + max(eps) AS v{c}" for c in columns)
+    loglik = " ".join(f"- 0.5 * (ln(2 * pi() * v{c}) + ({c} - m{c}) * ({c} - m{c}) / v{c})" for c in columns)
+    return f"""
+SELECT round, avg(CASE WHEN label = guess THEN 1.0 ELSE 0.0 END) AS accuracy FROM (
+  SELECT j.round, encounter_id, j.label, arg_max(c.label, prior {loglik}) AS guess FROM {judged} j JOIN (
+    SELECT o.round, label, ln(count(*) / CAST(max(n) AS DOUBLE)) AS prior, {facts} FROM {fit} o
+    JOIN (SELECT round, 1e-9 * greatest({spread}) AS eps, count(*) AS n FROM {fit} GROUP BY 1) e ON o.round = e.round
+    GROUP BY 1, 2) c ON j.round = c.round GROUP BY 1, 2, 3) GROUP BY round"""
+
+
+_TWO_COLUMNS = """
+, t AS (SELECT encounter_id, CAST(age AS DOUBLE) AS a, CAST(coalesce(num_lab_procedures, 0) AS DOUBLE) AS b,
+    CASE WHEN readmitted = '<30' THEN 1 ELSE 0 END AS label FROM encounters)"""
+
+
+def _rounds_sql(rows: str) -> str:
+    return f""",
+k AS (SELECT x.*, fold AS round FROM {rows} x JOIN ({_folds_sql(rows)}) d ON x.encounter_id = d.encounter_id),
+o AS (SELECT k.* REPLACE (i AS round) FROM k, (SELECT unnest(range(10)) AS i) WHERE round <> i)"""
+
+
+def two_columns(spark, folder) -> DataFrame:
+    """Encounters with two numeric columns and a label, stored."""
+    return settle(encounters(spark, folder).select(
+        "encounter_id", F.col("age").cast("double").alias("a"),
+        F.coalesce(F.col("num_lab_procedures"), F.lit(0)).cast("double").alias("b"),
+        (F.col("readmitted") == "<30").cast("double").alias("label"),
+    ))
+
+
+@query("i10_bayes_folds", with_encounters(_TWO_COLUMNS + _rounds_sql("t") + f""",
+m AS ({_accuracy_sql("o", "k")})
+SELECT CAST(round AS VARCHAR) AS fold, round(accuracy, 8) AS accuracy FROM m
+UNION ALL SELECT 'mean', round(avg(accuracy), 8) FROM m UNION ALL SELECT 'std', round(stddev_pop(accuracy), 8) FROM m
+"""))
+def _(spark, folder):
+    rows = assemble(two_columns(spark, folder), ["a", "b"])
+    folded = settle(stratified_folds(rows, "encounter_id", "label", 10).assign(rows, "fold"))
+    scores = cross_validate(folded, "naive_bayes", 10)
+    shown = [(str(i), s) for i, s in enumerate(scores.scores)] + [("mean", scores.mean), ("std", scores.std)]
+    return spark.createDataFrame([(n, round(v, 8)) for n, v in shown], "fold string, accuracy double")
+
+
+_BAYES_COMPARED = {"of_both": "ab", "of_age": "a", "of_labs": "b"}
+
+_COMPARISON_SQL = _TWO_COLUMNS + """,
+z AS (SELECT t.*, row_number() OVER (PARTITION BY label
+    ORDER BY ('0x' || substr(md5(encounter_id || ':100'), 1, 15))::BIGINT, encounter_id) AS r FROM t),
+y AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS total FROM t GROUP BY label),
+x AS (SELECT *, n / CAST(total AS DOUBLE) * (total - ceil(0.2 * total)) AS exact FROM y),
+w AS (SELECT label, n - floor(exact) - CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, label)
+    <= (total - ceil(0.2 * total)) - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS n_test FROM x),
+tr AS (SELECT encounter_id, a, b, z.label, 0 AS round FROM z JOIN w ON z.label = w.label WHERE r > n_test),
+te AS (SELECT encounter_id, a, b, z.label, 0 AS round FROM z JOIN w ON z.label = w.label WHERE r <= n_test),
+u AS (SELECT encounter_id, a, b, label FROM tr)""" + _rounds_sql("u") + ", found AS (" + " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS position, '{name}' AS model, "
+    f"(SELECT round(avg(accuracy), 8) FROM ({_accuracy_sql('o', 'k', columns)})) AS cv_accuracy, "
+    f"(SELECT round(accuracy, 8) FROM ({_accuracy_sql('tr', 'te', columns)})) AS test_accuracy"
+    for i, (name, columns) in enumerate(_BAYES_COMPARED.items())
+) + ")"
+
+
+def bayes_comparison(spark, folder) -> DataFrame:
+    """The whole protocol for one classifier on three sets of columns."""
+    table = two_columns(spark, folder)
+    split = stratified_split(table, "encounter_id", "label").assign(table)
+    train_rows, test_rows = part(split, "train").drop("split"), part(split, "test").drop("split")
+    folded = settle(stratified_folds(train_rows, "encounter_id", "label", 10).assign(train_rows, "fold"))
+    outcomes = [
+        replace(run_protocol(assemble(folded, columns), assemble(test_rows, columns), "naive_bayes", 10), name=name)
+        for name, columns in _BAYES_COMPARED.items()
+    ]
+    return compare(outcomes, table)
+
+
+@query("k5_bayes_comparison", with_encounters(_COMPARISON_SQL + " SELECT * FROM found"))
+def _(spark, folder):
+    return bayes_comparison(spark, folder).withColumns({c: F.round(c, 8) for c in ("cv_accuracy", "test_accuracy")})
+
+
+@query("j14_best_of_bayes", with_encounters(
+    _COMPARISON_SQL + " SELECT model, test_accuracy FROM found ORDER BY test_accuracy DESC, position LIMIT 1"))
+def _(spark, folder):
+    return best_model(bayes_comparison(spark, folder)).withColumn("test_accuracy", F.round("test_accuracy", 8))
+
+
 @query("i10_cross_validation")
 def _(spark, folder):
     rows = vectors(spark, folder)
