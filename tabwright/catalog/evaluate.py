@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwright.catalog.registry import query
 from tabwright.operators.metrics import (
+    area_under,
     classification_report,
     confusion_matrix,
     curves_by_model,
@@ -170,7 +171,8 @@ d AS (SELECT x - lag(x) OVER o AS dx, (y + lag(y) OVER o) / 2 AS h FROM p WINDOW
 SELECT round(sum(dx * h), 8) AS auc FROM d
 """)
 def _(spark, folder):
-    return rounded(roc_auc(scored_orders(spark, folder)), "auc")
+    curve = roc_curve(scored_orders(spark, folder), keep_start=True, drop_collinear=False)
+    return rounded(area_under(curve, "fpr", "tpr").withColumnRenamed("area", "auc"), "auc")
 
 
 @query("j12_classification_report", f"""

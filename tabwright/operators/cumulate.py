@@ -14,16 +14,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 10_000
+BUCKET_ROWS = 1_000_000
 
 
 def bucket_edges(df: DataFrame, order: str, buckets: int | None = None) -> list[float]:
-    """Inner bucket edges: quantiles of the order column, in one map-side aggregate."""
-    buckets = min(buckets or _default_buckets(df), MAX_BUCKETS)
+    """Inner bucket edges: quantiles of the order column.
+
+    Give the table that is to be cumulated, one row per distinct value, so that frequent values
+    do not crowd the edges. Without ``buckets`` there is one per shuffle partition, and more, found
+    by a second aggregate, where these would hold over ``BUCKET_ROWS`` rows each.
+    """
+    chosen = min(buckets or _default_buckets(df), MAX_BUCKETS)
+    rows, edges = _quantiles(df, order, chosen)
+    needed = min(math.ceil(rows / BUCKET_ROWS), MAX_BUCKETS)
+    if buckets is None and needed > chosen:
+        _, edges = _quantiles(df, order, needed)
+    return edges
+
+
+def _quantiles(df: DataFrame, order: str, buckets: int) -> tuple[int, list[float]]:
+    """Rows, and the edges between ``buckets`` buckets."""
     if buckets < 2:
-        return []
+        return 0, []
     shares = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile_approx(order, shares, 10 * buckets)).first()[0]
-    return sorted({float(e) for e in edges or [] if math.isfinite(e)})
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(order, shares, 10 * buckets).alias("e")).first()
+    return row["n"], sorted({float(e) for e in row["e"] or [] if math.isfinite(e)})
 
 
 def running_totals(

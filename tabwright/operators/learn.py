@@ -73,14 +73,15 @@ def make_classifier(name: str, rows: int, seed: int, settings: dict | None = Non
     return CLASSIFIERS[name](rows, seed, **(settings or {})).setFeaturesCol("features").setLabelCol("label")
 
 
-def class_labels(df: DataFrame, target: str) -> list[str]:
-    """Sorted class values; their position is the class index."""
-    values = df.select(quoted(target).cast("string").alias("v")).distinct().limit(MAX_CLASSES + 1).collect()
+def class_labels(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> list[str]:
+    """Sorted class values; their position is the class index. More than ``max_classes`` are an
+    error: models hold numbers per class and node."""
+    values = df.select(quoted(target).cast("string").alias("v")).distinct().limit(max_classes + 1).collect()
     labels = [r["v"] for r in values]
     if None in labels:
         raise ValueError(f"{target} holds nulls")
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
+    if len(labels) > max_classes:
+        raise ValueError(f"{target} has more than {max_classes} classes")
     return sorted(labels)
 
 
@@ -88,13 +89,14 @@ def train(
     df: DataFrame,
     features: FeatureParams = FeatureParams(),
     model: ModelParams = ModelParams(),
+    max_classes: int = MAX_CLASSES,
 ) -> PipelineModel:
     """Fit preparation and classifier as one saved unit.
 
     The result maps a raw table to ``prediction`` (the target's own values),
     ``probability`` and the columns the classifier adds.
     """
-    labels = class_labels(df, features.target)
+    labels = class_labels(df, features.target, max_classes)
     return train_prepared(df, fit_preparation(df.drop(*features.dropped), features.numeric, features.categorical),
                           features.target, labels, model)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tabwright.operators.clean import quoted
 from tabwright.operators.cumulate import bucket_edges, running_totals
 from tabwright.params import METRICS
+from tabwright.session import settle
 
 MAX_CLASSES = 1000
 
@@ -115,14 +116,18 @@ def confusion_matrix(
     label: str = "label",
     prediction: str = "prediction",
     labels: Sequence | None = None,
+    max_classes: int = MAX_CLASSES,
 ) -> DataFrame:
-    """``(actual, predicted, n)`` over the grid of all labels seen, zeros included."""
+    """``(actual, predicted, n)`` over the grid of all labels seen, zeros included.
+
+    The grid has a column per label, so more than ``max_classes`` of them are an error.
+    """
     pairs = pair_counts(scored, label, prediction)
     if labels is None:
         seen = pairs.select(F.explode(F.array("actual", "predicted")).alias("v")).distinct()
-        labels = sorted(r["v"] for r in seen.limit(MAX_CLASSES + 1).collect())
-        if len(labels) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes")
+        labels = sorted(r["v"] for r in seen.limit(max_classes + 1).collect())
+        if len(labels) > max_classes:
+            raise ValueError(f"more than {max_classes} classes")
     if not labels:
         return pairs
     # every label gets its row from itself, every column from the label list
@@ -153,7 +158,7 @@ def score_points(
     grouped = base.groupBy("score").agg(
         F.sum("is_positive").alias("pos"), F.sum(1 - F.col("is_positive")).alias("neg")
     )
-    edges = bucket_edges(base, "score", buckets)
+    edges = bucket_edges(grouped, "score", buckets)
     return running_totals(grouped, "score", ("pos", "neg"), edges).withColumnsRenamed(
         {"cum_pos": "tp", "cum_neg": "fp"}
     )
@@ -245,6 +250,28 @@ def roc_auc_by_class(
     return areas.agg(F.when(F.count("auc") == len(parts), F.avg("auc")).alias("auc"))
 
 
+def area_under(
+    curve: DataFrame, x: str, y: str, falling: bool = False, buckets: int | None = None
+) -> DataFrame:
+    """Area under the points of any curve by trapezoids (J11). One row, column ``area``.
+
+    Points are joined in the order of ``x``. Where several share an ``x`` the curve enters at their
+    least ``y`` and leaves at the greatest, or the other way round if it is ``falling``. Fewer
+    than two places on the axis give null; a null or NaN coordinate is an error.
+    """
+    def number(name):
+        value = quoted(name).cast("double")
+        return F.when(value.isNull() | F.isnan(value), F.raise_error(F.lit(f"{name} holds a null or NaN"))).otherwise(value)
+
+    low, high = F.min("y"), F.max("y")
+    places = settle(curve.select(number(x).alias("x"), number(y).alias("y")).groupBy("x").agg(
+        (high if falling else low).alias("enter"), (low if falling else high).alias("leave"), F.first("x").alias("at")))
+    steps = running_totals(places, "x", ("at", "enter", "leave"), bucket_edges(places, "x", buckets))
+    # the next row is the place to the left
+    return steps.agg(
+        F.sum((F.col("at") - F.col("next_at")) * (F.col("enter") + F.col("next_leave")) / 2.0).alias("area"))
+
+
 def trapezoid_sums():
     """Aggregates of score points that :func:`trapezoid_area` divides."""
     # each step in fp spans the running tp before and after it

@@ -47,7 +47,7 @@ class HashSplit:
             ]
             return df.withColumn(into, self._part(hashed, literals))
 
-        # at most MAX_STRATA rows
+        # one row per stratum, as many as the fit allowed
         fields = [T.StructField("__stratum", df.schema[self.strata].dataType)]
         for i in range(n_cuts):
             fields.append(T.StructField(f"__hash{i}", T.LongType()))
@@ -103,7 +103,7 @@ def split_table(df: DataFrame, params: SplitParams = SplitParams()) -> DataFrame
 
 
 def stratified_split(
-    df: DataFrame, key: str, strata: str, test_share: float = 0.2, seed: int = 100
+    df: DataFrame, key: str, strata: str, test_share: float = 0.2, seed: int = 100, max_strata: int = MAX_STRATA
 ) -> HashSplit:
     """Train / test with each class in proportion (H2).
 
@@ -117,11 +117,11 @@ def stratified_split(
         train = proportional_sizes(counts, n_train)
         return {c: [counts[c] - train[c]] for c in counts}
 
-    return fit_split(df, key, ("test", "train"), sizes, seed, strata)
+    return fit_split(df, key, ("test", "train"), sizes, seed, strata, max_strata=max_strata)
 
 
 def stratified_folds(
-    df: DataFrame, key: str, strata: str, folds: int = 10, seed: int = 100
+    df: DataFrame, key: str, strata: str, folds: int = 10, seed: int = 100, max_strata: int = MAX_STRATA
 ) -> HashSplit:
     """Fold numbers 0..folds-1, balanced within each class and overall (H3).
 
@@ -138,7 +138,7 @@ def stratified_folds(
             start = stop
         return result
 
-    return fit_split(df, key, tuple(range(folds)), sizes, seed, strata)
+    return fit_split(df, key, tuple(range(folds)), sizes, seed, strata, max_strata=max_strata)
 
 
 def hash_sample(
@@ -169,11 +169,13 @@ def fit_split(
     seed: int,
     strata: str | None = None,
     bits: int = 14,
+    max_strata: int = MAX_STRATA,
 ) -> HashSplit:
     """Find the cut points that give every stratum its part sizes.
 
     ``sizes`` maps the row counts per stratum to the sizes of all parts but the last.
-    The key must be unique. Costs two scans of the key and stratum columns, and one more
+    The key must be unique; a cut between rows of one key is an error, as is a stratum column with
+    more than ``max_strata`` values, whose counts the driver holds. Costs two scans of the key and stratum columns, and one more
     for each factor of ``2**bits`` by which a stratum exceeds that many prefixes.
     """
     stratum = F.lit(None).cast("string") if strata is None else F.col(strata)
@@ -181,9 +183,9 @@ def fit_split(
         stratum.alias("s"), hash60(F.col(key), seed).alias("h"), F.col(key).alias("k")
     )
     if strata is not None:
-        levels = rows.select("s").distinct().limit(MAX_STRATA + 1).count()
-        if levels > MAX_STRATA:
-            raise ValueError(f"{strata} has more than {MAX_STRATA} classes")
+        levels = rows.select("s").distinct().limit(max_strata + 1).count()
+        if levels > max_strata:
+            raise ValueError(f"{strata} has more than {max_strata} classes")
         bits = max(6, bits - levels.bit_length())
 
     shift = HASH_BITS - bits
@@ -218,7 +220,10 @@ def fit_split(
         for row in _inside(rows, open_cuts, shift).collect():
             found.setdefault((row["s"], row["h"] >> shift), []).append((row["h"], row["k"]))
         for (s, i), (prefix, rest, _) in open_cuts.items():
-            cuts[s][i] = sorted(found[s, prefix])[rest]
+            places = sorted(found[s, prefix])
+            if rest and places[rest - 1] == places[rest]:  # equal rows would all fall on one side
+                raise ValueError(f"split key {key} is not unique")
+            cuts[s][i] = places[rest]
     return HashSplit(key, seed, strata, tuple(names), cuts)
 
 

@@ -126,3 +126,29 @@ def test_auc_over_classes(spark):
     )
     assert m.roc_auc_by_class(three, "y", "p", ["a", "b", "c"]).first()["auc"] == 1.0
     assert m.roc_auc_by_class(three.limit(2), "y", "p", ["a", "b", "c"]).first()["auc"] is None
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_area_under_any_curve(spark, buckets):
+    x, y = [0.0, 0.5, 0.5, 2.0, 3.5], [1.0, 2.0, 4.0, 4.0, -1.0]
+    curve = spark.createDataFrame(list(zip(x, y)), "x double, y double").repartition(3)
+    assert m.area_under(curve, "x", "y", buckets=buckets).first()["area"] == pytest.approx(np.trapezoid(y, x))
+    falls = [1.0, 4.0, 2.0, 4.0, -1.0]
+    area = m.area_under(curve, "x", "y", falling=True, buckets=buckets).first()["area"]
+    assert area == pytest.approx(np.trapezoid(falls, x))
+    assert m.area_under(curve.limit(1), "x", "y").first()["area"] is None
+    with pytest.raises(Exception, match="holds a null"):
+        m.area_under(curve.withColumn("y", F.nullif("y", F.lit(-1.0))), "x", "y").collect()
+
+
+def test_repeated_scores_do_not_crowd_the_buckets(spark):
+    from tabwright.operators.cumulate import bucket_edges
+
+    # nine of ten rows on ten scores
+    frame = spark.range(20_000).select(
+        F.when(F.col("id") % 10 > 0, F.col("id") % 10).otherwise(F.col("id") / 20_000).alias("score").cast("double"))
+    distinct = frame.select("score").distinct()
+    edges = [float("-inf"), *bucket_edges(distinct, "score", 20), float("inf")]
+    values = np.array([r["score"] for r in distinct.collect()])
+    sizes = [((values >= a) & (values < b)).sum() for a, b in zip(edges, edges[1:])]
+    assert len(values) > 2_000 and max(sizes) <= 2 * len(values) / 20

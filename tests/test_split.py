@@ -57,6 +57,19 @@ def test_duplicate_keys_are_refused(spark, monkeypatch):
         sp.fit_split(frame, "key", ("a", "b"), lambda c: {None: [10]}, seed=3)
 
 
+def test_few_repeated_keys_are_refused_too(spark):
+    frame = spark.range(100).select((F.col("id") % 4).alias("key"))
+    with pytest.raises(ValueError, match="not unique"):
+        sp.three_way_split(frame, "key")
+
+
+def test_limit_of_classes_is_an_argument(spark):
+    frame = numbered(spark, 40)
+    with pytest.raises(ValueError, match="more than 1 classes"):
+        sp.stratified_split(frame, "key", "c", max_strata=1)
+    assert sp.stratified_split(frame, "key", "c", max_strata=2).assign(frame).count() == 40
+
+
 def test_stratified_split(spark):
     frame = numbered(spark, 95)
     rows = sp.stratified_split(frame, "key", "c").assign(frame).collect()
