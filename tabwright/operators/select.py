@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.clean import numeric_columns, quoted
-from tabwright.session import settle
+from tabwright.session import laid_out, settle
 
 
 def anova_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -90,11 +90,13 @@ def assemble(df: DataFrame, features: Sequence[str], into: str = "features") ->
 
 def importance_ranking(
     df: DataFrame, features: Sequence[str], label: str, trees: int = 100, seed: int = 42,
-    max_depth: int = 30, top: int | None = None, ascending: bool = False,
+    max_depth: int = 30, top: int | None = None, ascending: bool = False, key: str | None = None,
 ) -> DataFrame:
     """Forest importances as ``(feature, importance)``, best first (G15, K1-K3). Depth 30 is the
-    greatest that Spark allows."""
-    model = _forest(trees, seed, max_depth, label).fit(assemble(df.select(*map(quoted, features), quoted(label)), features))
+    greatest that Spark allows. With ``key``, a unique column of a stored table, the result does
+    not depend on the table's partitions."""
+    rows = (df if key is None else laid_out(df, key)).select(*map(quoted, features), quoted(label))
+    model = _forest(trees, seed, max_depth, label).fit(assemble(rows, features))
     return ranked_importances(df, features, model.featureImportances.toArray(), top, ascending)
 
 
@@ -109,16 +111,17 @@ def ranked_importances(df: DataFrame, features, importances, top=None, ascending
 
 def recursive_elimination(
     df: DataFrame, features: Sequence[str], label: str, keep: int = 20, step: int = 1,
-    trees: int = 100, seed: int = 42, max_depth: int = 30,
+    trees: int = 100, seed: int = 42, max_depth: int = 30, key: str | None = None,
 ) -> tuple[list[str], dict[str, int]]:
     """Drop the least important features round by round.
 
     Returns the kept names in original order and the rank of every feature (1 = kept).
-    The input is held for the rounds, which differ only in the columns they assemble.
+    The input is held for the rounds, which differ only in the columns they assemble. ``key`` is
+    as for :func:`importance_ranking`.
     """
     if step < 1:
         raise ValueError("step must be at least 1")
-    held = df.select(*(quoted(c).cast("double").alias(c) for c in features), quoted(label)).persist()
+    held = (df if key is None else laid_out(df, key)).select(*(quoted(c).cast("double").alias(c) for c in features), quoted(label)).persist()
     try:
         remaining, dropped = list(features), []
         while len(remaining) > keep:

@@ -20,6 +20,7 @@ from tabwright.operators.split import part, split_table
 from tabwright.params import FeatureParams, WorkflowParams
 from tabwright.plans.features import derive_features
 from tabwright.plans.scoring import Scorer
+from tabwright.session import laid_out
 from tabwright.sources import runs
 from tabwright.sources.models import save_model
 from tabwright.sources.sinks import write_labelled_predictions, write_metrics_csv, write_splits
@@ -78,7 +79,7 @@ def run_training(
     stored = spark.read.schema(derived.schema.add("split", "string")).parquet(f"{out}/splits")
     train_df, validation_df, test_df = (part(stored, n) for n in ("train", "validation", "test"))
 
-    model, chosen = prepare_and_train(train_df, params)
+    model, chosen = prepare_and_train(laid_out(train_df, params.split.key), params)
     model_path = f"{out}/model"
     save_model(model, model_path)
     run_id = runs.new_run()

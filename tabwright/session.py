@@ -63,7 +63,9 @@ def release(*stored: DataFrame) -> None:
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def laid_out(df: DataFrame, *key: str, parts: int = 32) -> DataFrame:
-    """Rows dealt by a hash of the key into a fixed number of sorted partitions. Fits that draw
-    samples per partition then do not depend on the files or the cores."""
+def laid_out(df: DataFrame, *key: str, rows_per_part: int = 500_000, least: int = 8) -> DataFrame:
+    """Rows dealt by a hash of the key into sorted partitions, whose number follows from the number
+    of rows alone. Fits that draw samples per partition then do not depend on the files or the
+    cores. The rows are counted first, so give a stored table."""
+    parts = max(least, -(-df.count() // rows_per_part))
     return df.repartition(parts, *key).sortWithinPartitions(*key)

@@ -5,12 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.operators import select as sel
+from tabwright.session import laid_out
 
 
 @pytest.fixture
 def frame(spark):
     return spark.range(90).select(
-        (F.col("id") % 3).alias("y"), F.col("id").alias("drift"),
+        "id", (F.col("id") % 3).alias("y"), F.col("id").alias("drift"),
         (F.col("id") % 3 * 10 + F.pmod(F.xxhash64("id"), 5)).cast("double").alias("strong"),
         F.pmod(F.xxhash64("id", F.lit(1)), 11).alias("noise"), F.lit(4).alias("flat"),
         (F.col("id") % 3).cast("double").alias("copy"),
@@ -59,3 +60,22 @@ def test_importance_and_elimination(frame):
     assert kept == ["strong"] and ranks["noise"] == ranks["flat"] == 2
     with pytest.raises(ValueError):
         sel.recursive_elimination(labelled, names, "y", step=0)
+
+
+def test_importances_do_not_depend_on_the_partitions(spark, frame):
+    names = ["noise", "drift", "flat"]
+    labelled = frame.withColumn("y", (F.pmod(F.xxhash64("id"), 2) == 1).cast("double"))
+    found, kept = [], []
+    for parts in (1, 2, 7):
+        rows = labelled.repartition(parts, F.xxhash64("drift", F.lit(parts)))
+        ranked = sel.importance_ranking(rows, names, "y", trees=8, max_depth=5, key="id").collect()
+        found.append([tuple(r) for r in ranked])
+        kept.append(sel.recursive_elimination(rows, names, "y", keep=1, trees=8, max_depth=5, key="id"))
+    assert found[0] == found[1] == found[2] and kept[0] == kept[1] == kept[2]
+    assert 0 < found[0][0][1] < 1
+
+
+def test_layout_follows_the_number_of_rows(spark):
+    for rows, parts in ((0, 8), (90, 8), (91, 10)):
+        table = spark.range(rows).repartition(3)
+        assert laid_out(table, "id", rows_per_part=10 if rows > 90 else 100).rdd.getNumPartitions() == parts
