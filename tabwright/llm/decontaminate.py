@@ -3,7 +3,8 @@
 The windows of all items are a Spark table. It is collected in parts of at most about
 ``part_windows`` rows (window, item), so what is broadcast has a bound that does not grow
 with the benchmark; each part is one narrow pass over the documents, and a usual benchmark is
-one part. Documents are never shuffled.
+one part. Where there are more, the documents are written between the passes, so that a task and the
+driver hold one part at a time. Documents are never shuffled.
 
 In a pass, every word of a text gets a hash from its first and last eight bytes and its
 length, windows get a rolling combination, and a bitmap of the part's window hashes leaves
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.llm.words import bounds, byte_texts, fresh, words_of
-from tabwright.session import settle
+from tabwright.session import release, settle
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ROLL = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -137,7 +138,14 @@ def find_contamination(
     })
     schema = T.StructType(out.schema.fields)
     place = {name: i for i, name in enumerate(out.columns)}
+    shared, stored = None, None
     for part in range(parts):
+        if shared is not None:  # one part at a time: end the pass before, then drop its set
+            before = stored
+            out = stored = settle(out)
+            shared.destroy()
+            if before is not None:
+                release(before)
         rows = windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(parts)) == part).collect()
         shared = spark.sparkContext.broadcast(WindowSet(rows))
 
