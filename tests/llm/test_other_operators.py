@@ -65,6 +65,18 @@ def test_pii(spark):
     assert sum(s.startswith("account:") for s in more) >= 50 and sum(not s.startswith("account:") for s in more) <= 4
 
 
+def test_pii_in_wider_forms(spark):
+    planted = ["u7 (at) mail3 (dot) example (dot) com", "ann.b[at]web[dot]org", "(415) 555-2671", "0415 555 2672", "415.555.2673", "0049 415 555 2674"]
+    rows = pii_rows(800) + [(2_000 + i, f"{prose(i, 12)} {'call' if i > 1 else 'mail'} {p} today {prose(i + 1, 5)}", "en", "s", 0)
+                            for i, p in enumerate(planted)]
+    got = {r.doc_id: r.spans for r in pii.pii_report(table(spark, rows).repartition(3)).collect()}
+    for i, text, *_ in rows[-len(planted):]:
+        a = text.index(planted[i - 2_000])
+        assert f"{a}:{a + len(planted[i - 2_000])}" in [s.split(":", 1)[1] for s in got[i].split(",") if s], text
+    # bare numbers and versions stay
+    assert sum(any(s.split(":")[0] not in pii.KINDS for s in got[i].split(",") if s) for i, *_ in rows[:800] if i % 7 in (4, 5)) <= 4
+
+
 def test_pii_of_nothing(spark):
     assert pii.pii_report(table(spark, [])).count() == 0
     out = pii.pii_report(table(spark, [(1, "no data", "", "", 0)]).selectExpr("*", "1 AS pii", "2 AS spans"))
