@@ -77,6 +77,17 @@ def test_pii_in_wider_forms(spark):
     assert sum(any(s.split(":")[0] not in pii.KINDS for s in got[i].split(",") if s) for i, *_ in rows[:800] if i % 7 in (4, 5)) <= 4
 
 
+def test_rare_kinds_are_found_at_any_density(spark):
+    account = "konto DE89 3704 0044 0532 0130 00 x"
+    rows = [(i, f"{prose(i % 50, 6)} {account if i % 500 == 0 else f'order {10 ** 9 + i} sent'} {prose(i % 7, 3)}", "en", "s", 0) for i in range(60_000)]
+    docs = table(spark, rows).repartition(8)
+    judge = pii.fit_judge(docs)
+    found, name = pii.find_pii(docs.where("doc_id % 500 = 0"), judge)
+    assert sum(any(s.kind == "account" for s in r[name]) for r in found.collect()) >= 115
+    found, name = pii.find_pii(docs.where("doc_id < 2000 AND doc_id % 500 > 0"), judge)
+    assert sum(len(r[name]) for r in found.collect()) == 0
+
+
 def test_pii_of_nothing(spark):
     assert pii.pii_report(table(spark, [])).count() == 0
     out = pii.pii_report(table(spark, [(1, "no data", "", "", 0)]).selectExpr("*", "1 AS pii", "2 AS spans"))
