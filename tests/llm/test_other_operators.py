@@ -227,6 +227,15 @@ def test_rendering(page, text):
     assert got == text or (text == "bold\n\npara\n\nmore" and got.split() == text.split())
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div hidden>a<br>secret</div>x", "x"), ("<div hidden>a<img alt=pic>secret</div>x", "x"), ("<video><source src=x>no support</video>x", "x"),
+    ("<pre hidden>a<br>b</pre><p>x   y</p>", "x y"), ("<ol start=4><li>a<ul hidden><li>b<br>c</ul><li>d</ol>", "4. a\n5. d"),
+    ("<table><tr><td>a<table hidden><tr><td>b<br>c<img alt=d></table><td>e</table>", "a  e"), ("<div style='display:none'>a<input>b<hr>c</div>x", "x"),
+])
+def test_void_elements_in_hidden_ones(page, text):
+    assert html_text.render(page) == text
+
+
 def test_all_visible_words_stay(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in html_text.html_report(pages).collect()}
