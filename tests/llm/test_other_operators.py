@@ -236,6 +236,23 @@ def test_void_elements_in_hidden_ones(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("a<svg><title>no</title><defs><text>no</text></defs><g><text x=1>Sales &amp; tax</text><text>2020<title>no</title></text></g>no</svg>b", "a Sales & tax 2020 b"),
+    ("<svg><text><tspan x=0>one</tspan><tspan x=0>two</tspan><tspan dy=1>s</tspan></text><text display=none>no</text></svg>", "one twos"),
+    ("<svg><style/><title/><path d='M0'/><text><![CDATA[p < q > r]]></text></svg>z", "p < q > r z"), ("<svg><text>l</text><p>out</p>", "l\n\nout"),
+    ("<p>x<svg><foreignObject><div>in <b>box</b></div></foreignObject><desc>no</desc></svg>y", "x\nin box\ny"), ("<svg><path d='M0'></svg>x", "x"),
+    ("so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>.", "so x= 1 2 ."),
+    ("<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation>no</annotation></semantics></math>", "E=m"),
+    ("a<textarea>\nb  c\n  &lt;d></textarea>e", "a\nb  c\n  <d>\ne"), ("<div hidden><textarea>no</textarea><select><option>no</select></div>x", "x"),
+    ("size <select><option>S<option selected>M<option>L</select> now", "size M now"), ("<select><option disabled>pick<option>S<option>L</select>", "S"),
+    ("<select><optgroup label=no><option label=short>long</option></optgroup></select>", "short"), ("<select>no<option disabled>a</select>", "a"),
+    ("a<select multiple><optgroup label=g><option>b<option>c</select>d", "a\ng\nb\nc\nd"), ("<table><tr><td><select><option>a<td>b</table>", "a  b"),
+    ("<select/><option>a</select>b", "a b"), ("<datalist><option>no</datalist>x", "x"), ("<textarea>", ""), ("<select><option>a", "a"),
+])
+def test_text_of_drawings_formulas_and_forms(page, text):
+    assert html_text.render(page) == text
+
+
 def test_all_visible_words_stay(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in html_text.html_report(pages).collect()}
