@@ -6,7 +6,8 @@ host) and by host. Posteriors of the sites shrink towards the level above: a hos
 global mean, a path towards its host, each with a strength estimated from the spread between the
 sites (method of moments), so sparse sites stay near the prior. A document's score joins its
 own evidence with the shift of its path's posterior from the global mean, in log odds; the
-document itself is left out of its sites' sums, so evidence is not counted twice.
+document itself is left out of its sites' sums, so evidence is not counted twice. The cut is
+chosen on that score, of held-out labelled documents with their sites, from both classes' errors.
 
 Sites are grouped rows of three numbers; texts are never shuffled.
 """
@@ -43,10 +44,12 @@ FEATURES = (
 class Quality:
     """``sample``: most labelled documents that the classifier is fitted on; the threshold is read
     off about as many others. ``keep_share``: share of good labelled documents that the threshold
-    lets pass. ``site_weight``: weight of the site's shift in log odds."""
+    lets pass, unless a higher one rejects, for each share of them that it loses, ``good_weight`` times that
+    share of the bad ones: then labels of the good class are wrong. ``site_weight``: weight of the site's shift in log odds."""
 
     sample: int = 20_000
     keep_share: float = 0.999
+    good_weight: float = 20.0
     top_threshold: float = 0.5
     site_weight: float = 0.5
     seed: int = 42
@@ -106,42 +109,53 @@ class Classifier:
         return evidence(text)
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: int) -> DataFrame:
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: int, *more: Column) -> DataFrame:
     """About ``most`` documents with a label of 0 or 1, chosen by a seeded hash of the id: doc_id,
-    text, y. Documents with contradicting labels are left out; copies of a row count once."""
+    text, y and ``more``. Documents with contradicting labels are left out; copies of a row count once."""
     wanted = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min(label).alias("y"), F.max(label).alias("top")).where("y = top").select("doc_id", "y")
     chosen = bounded_sample(wanted, "doc_id", most, seed).select(F.col("doc_id").alias("__id"), "y")
-    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "y")
+    rows = docs.select("doc_id", "text", *more).join(chosen, F.col("doc_id") == F.col("__id")).drop("__id")
     return rows.dropDuplicates(["doc_id"])
 
 
-def fit_classifier(docs: DataFrame, labels: DataFrame, settings: Quality = Quality()) -> tuple[Classifier, pd.DataFrame]:
-    """The classifier, and its held-out evidence: rows (y, p). Without labels of both classes every
+def fit_classifier(docs: DataFrame, labels: DataFrame, settings: Quality = Quality(), *, host: str = "source",
+                   path: str = "lang") -> tuple[Classifier, pd.DataFrame]:
+    """The classifier, and its held-out evidence: rows (y, p, host, path). Without labels of both classes every
     document gets the evidence 1 and nothing is held out."""
 
     @F.pandas_udf("array<float>")
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([shape(t) for t in texts])
 
-    rows = labelled_rows(docs, labels, "quality", 2 * settings.sample, settings.seed).select(
-        "y", (seeded(F.col("doc_id"), settings.seed + 1) < 0.5).alias("fit"), features("text").alias("x")).toPandas()
+    sites = F.col(host).cast("string").alias("__host"), F.col(path).cast("string").alias("__path")
+    rows = labelled_rows(docs, labels, "quality", 2 * settings.sample, settings.seed, *sites).select(
+        "y", "__host", "__path", (seeded(F.col("doc_id"), settings.seed + 1) < 0.5).alias("fit"), features("text").alias("x")).toPandas()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     y, fit = rows["y"].to_numpy(float), rows["fit"].to_numpy(bool)
     if len(set(y[fit])) < 2:
         width = 2 * len(FEATURES)
-        return Classifier(np.zeros(width), np.ones(width), np.array([0.0] * width + [35.0])), pd.DataFrame({"y": [], "p": []})
+        return Classifier(np.zeros(width), np.ones(width), np.array([0.0] * width + [35.0])), pd.DataFrame({"y": [], "p": [], "host": [], "path": []})
     wide = _expanded(x[fit])
     mean, scale = wide.mean(0), wide.std(0) + 1e-6
     model = Classifier(mean, scale, fit_logistic((wide - mean) / scale, y[fit]))
-    return model, pd.DataFrame({"y": y[~fit], "p": model.scores(x[~fit])})
+    return model, pd.DataFrame({"y": y[~fit], "p": model.scores(x[~fit]), "host": rows["__host"].to_numpy(object)[~fit],
+                                "path": rows["__path"].to_numpy(object)[~fit]})
 
 
 def threshold(held_out: pd.DataFrame, settings: Quality = Quality()) -> float:
-    """The largest score, at most ``top_threshold``, that ``keep_share`` of the held-out good
-    documents reach."""
-    good = held_out["p"][held_out["y"] == 1]
-    return min(settings.top_threshold, float(good.quantile(1 - settings.keep_share))) if len(good) else 0.0
+    """From held-out rows (y, score): the largest score, at most ``top_threshold``, that ``keep_share`` of the
+    good documents reach, or the one above it where lost good and kept bad documents cost least."""
+    good, bad = (np.sort(held_out["score"][held_out["y"] == v].to_numpy(float)) for v in (1, 0))
+    if not len(good):
+        return 0.0
+    least = float(np.quantile(good, 1 - settings.keep_share))
+    if least >= settings.top_threshold or not len(bad):
+        return min(settings.top_threshold, least)
+    cuts = np.unique(np.concatenate([[least, settings.top_threshold], good, bad]))
+    cuts = cuts[(cuts >= least) & (cuts <= settings.top_threshold)]
+    lost, kept = np.searchsorted(good, cuts) / len(good), 1 - np.searchsorted(bad, cuts) / len(bad)
+    return float(cuts[np.argmin(settings.good_weight * lost + kept)])
 
 
 def _odds(p: Column) -> Column:
@@ -172,25 +186,43 @@ def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float, float, float
     return sites, mean if n else 0.5, k_host, k_path
 
 
-def combined(scored: DataFrame, p: str, host: str, path: str, settings: Quality = Quality(),
-             stored: DataFrame | None = None) -> tuple[DataFrame, tuple[str, str]]:
-    """``scored`` with the path's posterior and the document's score, in columns whose names are
-    returned. ``stored``: host, path and p of all rows, if written already."""
+Posteriors = tuple[DataFrame, float, float, float]
+
+
+def joined(scored: DataFrame, p: str, host: str, path: str, posteriors: Posteriors,
+           settings: Quality = Quality()) -> tuple[DataFrame, tuple[str, str]]:
+    """``scored`` with the path's posterior and the document's score, in columns whose names are returned.
+    A path that the posteriors lack has the global mean."""
     host_c, path_c = F.col(host).cast("string"), F.col(path).cast("string")
-    if stored is None:
-        stored = settle(scored.select(host_c.alias("host"), path_c.alias("path"), F.col(p).alias("p")))
-    sites, mean, k_host, k_path = site_posteriors(stored)
+    sites, mean, k_host, k_path = posteriors
     sites = sites.select(*(F.col(c).alias(f"__{c}") for c in ("host", "path", "h_n", "h_s", "s_n", "s_s")))
-    joined = scored.join(sites, host_c.eqNullSafe(F.col("__host")) & path_c.eqNullSafe(F.col("__path")))
+    rows = scored.join(sites, host_c.eqNullSafe(F.col("__host")) & path_c.eqNullSafe(F.col("__path")), "left")
     site, score = fresh(scored, "site_quality", "score")
-    others = lambda s, n, prior, k: (F.col(s) - F.col(p) + F.lit(k) * prior) / (F.col(n) - 1 + F.lit(k))
+    others = lambda s, n, prior, k: F.coalesce((F.col(s) - F.col(p) + F.lit(k) * prior) / (F.col(n) - 1 + F.lit(k)), prior)
     host_mean = others("__h_s", "__h_n", F.lit(mean), k_host)
     shift = settings.site_weight * (_odds(F.col(site)) - _odds(F.lit(mean)))
-    out = joined.withColumn(site, others("__s_s", "__s_n", host_mean, k_path)).withColumn(
+    out = rows.withColumn(site, others("__s_s", "__s_n", host_mean, k_path)).withColumn(
         score, 1 / (1 + F.exp(-(_odds(F.col(p)) + shift))))
     return out.drop(*sites.columns), (site, score)
 
 
+def combined(scored: DataFrame, p: str, host: str, path: str, settings: Quality = Quality()) -> tuple[DataFrame, tuple[str, str]]:
+    """``joined`` with the posteriors of the rows themselves."""
+    stored = settle(scored.select(F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.col(p).alias("p")))
+    return joined(scored, p, host, path, site_posteriors(stored), settings)
+
+
+def held_out_scores(held_out: pd.DataFrame, posteriors: Posteriors, settings: Quality = Quality()) -> pd.DataFrame:
+    """The held-out rows (y, score), each with its site's posterior."""
+    named = lambda v: v if isinstance(v, str) else None
+    rows = [(float(r.y), float(r.p), named(r.host), named(r.path)) for r in held_out.itertuples()]
+    if not rows:
+        return pd.DataFrame({"y": [], "score": []})
+    some = posteriors[0].sparkSession.createDataFrame(rows, "y double, p double, host string, path string")
+    out, (_, score) = joined(some, "p", "host", "path", posteriors, settings)
+    return out.select("y", F.col(score).alias("score")).toPandas()
+
+
 def quality_report(docs: DataFrame, labels: DataFrame, *, host: str = "source", path: str = "lang",
                    settings: Quality = Quality()) -> DataFrame:
     """Per document: doc_id, evidence, site_quality, score (0 to 1) and keep.
@@ -199,20 +231,25 @@ def quality_report(docs: DataFrame, labels: DataFrame, *, host: str = "source",
     hosts and paths are sites of their own. A text without words has all features zero and is
     judged by them. Rows without labels are scored as all others; repeated rows stay.
     """
-    model, held_out = fit_classifier(docs, labels, settings)
+    model, held_out = fit_classifier(docs, labels, settings, host=host, path=path)
     scored = settle(docs.select("doc_id", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"),
                                 model.column(F.col("text")).alias("p")))
-    out, (site, score) = combined(scored, "p", "host", "path", settings, stored=scored)
+    posteriors = site_posteriors(scored)
+    out, (site, score) = joined(scored, "p", "host", "path", posteriors, settings)
+    cut = threshold(held_out_scores(held_out, posteriors, settings), settings)
     return out.select("doc_id", F.col("p").alias("evidence"), F.col(site).alias("site_quality"), F.col(score).alias("score"),
-                      (F.col(score) >= threshold(held_out, settings)).alias("keep"))
+                      (F.col(score) >= cut).alias("keep"))
 
 
 def keep_good(docs: DataFrame, corpus: DataFrame, labels: DataFrame, *, host: str = "source", path: str = "lang",
               settings: Quality = Quality()) -> DataFrame:
     """The documents that are not rejected; columns as they came. ``corpus``: where the labelled
     documents are found."""
-    model, held_out = fit_classifier(corpus, labels, settings)
+    model, held_out = fit_classifier(corpus, labels, settings, host=host, path=path)
     (p,) = fresh(docs, "evidence")
     scored = docs.withColumn(p, model.column(F.col("text")))
-    out, (_, score) = combined(scored, p, host, path, settings)
-    return out.where(F.col(score) >= threshold(held_out, settings)).select(*docs.columns)
+    posteriors = site_posteriors(settle(scored.select(
+        F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.col(p).alias("p"))))
+    out, (_, score) = joined(scored, p, host, path, posteriors, settings)
+    cut = threshold(held_out_scores(held_out, posteriors, settings), settings)
+    return out.where(F.col(score) >= cut).select(*docs.columns)

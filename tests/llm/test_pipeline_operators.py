@@ -1,6 +1,7 @@
 """The five operators of the pipeline against plain versions, with awkward rows."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tabwright.llm import decontaminate, mix, quality, secrets, simhash
@@ -217,6 +218,24 @@ def test_quality(spark):
     assert kept.columns == docs.columns and abs(kept.count() - 300) <= 4
 
 
+def test_the_cut_withstands_wrong_labels(spark):
+    docs, _ = labelled(spark, 2_000)
+    labels = table(spark, [(i, int(i % 4 > 0 or i % 80 == 0), 0) for i in range(2_000)], "doc_id long, quality int, toxic int")
+    out = quality.quality_report(docs, labels).collect()
+    bad = [r.keep for r in out if r.doc_id % 4 == 0]
+    assert sum(bad) <= 0.05 * len(bad) and sum(r.keep for r in out) - sum(bad) >= 0.98 * (len(out) - len(bad))
+
+
+def test_the_cut_is_on_the_score_with_the_site(spark):
+    rows = [(1.0, 0.95, "good", "x")] * 900 + [(0.0, 0.1, "junk", "x")] * 180 + [(1.0, 0.8, "junk", "x")] * 20
+    held_out = pd.DataFrame(rows, columns=["y", "p", "host", "path"])
+    posteriors = quality.site_posteriors(table(spark, rows, "y double, p double, host string, path string").cache())
+    scores = quality.held_out_scores(held_out, posteriors)
+    kept = scores["score"] >= quality.threshold(scores)
+    assert kept[scores["y"] == 1].all() and not kept[scores["y"] == 0].any()
+    assert (scores["score"][scores["y"] == 1] < 0.5).sum() == 20
+
+
 def test_sparse_sites_shrink(spark):
     rows = [("big", "x", 0.9)] * 50 + [("big", "y", 0.9)] + [("poor", "x", 0.1)] * 50 + [("one", "x", 0.1)] + [(None, None, 0.9)] * 3
     scored = table(spark, rows, "host string, path string, p double").cache()
