@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import decontaminate, html_text, licenses, mix, pii, quality, secrets, simhash, topk, toxicity
+from tabwright.llm import (
+    decontaminate, html_text, licenses, mix, negatives, pii, quality, secrets, simhash, topk, toxicity)
 from tabwright.sources.tables import parquet
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,7 @@ QUERIES: dict[str, Build] = {
     "op9_toxicity": lambda spark, folder: toxicity.toxicity_report(
         parquet(spark, folder, "documents"), parquet(spark, folder, "labels")),
     "op10_mix": lambda spark, folder: mix.mix_report(parquet(spark, folder, "documents")),
+    "op13_negatives": lambda spark, folder: negatives.negatives_report(parquet(spark, folder, "embeddings")),
 }
 
 
@@ -78,4 +80,15 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)""",
+    "op13_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE vec_id IS NOT NULL
+  AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10""",
 }
