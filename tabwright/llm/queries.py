@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwright.llm import (
-    decontaminate, html_text, licenses, mix, negatives, pii, quality, secrets, simhash, topk, toxicity)
+    decontaminate, html_text, language, licenses, mix, negatives, pii, quality, secrets, simhash, topk, toxicity,
+    trie)
 from tabwright.sources.tables import parquet
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,8 @@ QUERIES: dict[str, Build] = {
     "op9_toxicity": lambda spark, folder: toxicity.toxicity_report(
         parquet(spark, folder, "documents"), parquet(spark, folder, "labels")),
     "op10_mix": lambda spark, folder: mix.mix_report(parquet(spark, folder, "documents")),
+    "op11_trie": lambda spark, folder: trie.trie_report(parquet(spark, folder, "conversations")),
+    "op12_language": lambda spark, folder: language.language_report(parquet(spark, folder, "documents")),
     "op13_negatives": lambda spark, folder: negatives.negatives_report(parquet(spark, folder, "embeddings")),
 }
 
@@ -80,6 +83,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)""",
+    "op11_trie": """
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+  list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(conv_id AS VARCHAR)[i]) AS BIGINT))),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+   lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 6 AS h FROM t GROUP BY conv_id),
+g AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS g FROM c LEFT JOIN c b ON b.conv_id = c.base),
+r AS (SELECT g.conv_id, place AS depth, role, text FROM g JOIN t ON t.conv_id = g.base AND place <= g
+  UNION ALL SELECT g.conv_id, place - h + g, role, text FROM g JOIN t ON t.conv_id = g.conv_id AND place > h),
+p AS (SELECT conv_id, depth, length(text) AS size, string_agg(sha256(sha256(role) || text), '' ORDER BY depth)
+   OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+nodes AS (SELECT key, min(p.conv_id) AS conv_id, max(p.depth) AS depth, max(size) AS size, count(*) AS n_convs,
+  sha256(coalesce(string_agg(e.conv_id, ',' ORDER BY e.conv_id), '')) AS ends_sha256
+  FROM p LEFT JOIN e ON e.conv_id = p.conv_id AND e.depth = p.depth GROUP BY key),
+up AS (SELECT DISTINCT b.key, a.key AS above, b.depth - a.depth AS far FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+kids AS (SELECT above AS key, count(*) AS n FROM up WHERE far = 1 GROUP BY above),
+sums AS (SELECT above AS key, count(*) FILTER (kids.key IS NULL) AS n_leaves, sum((n_convs - 1) * size) AS saved
+  FROM up JOIN nodes ON nodes.key = up.key LEFT JOIN kids ON kids.key = up.key GROUP BY above)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children,
+  n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums ON sums.key = n.key LEFT JOIN kids ON kids.key = n.key
+LEFT JOIN up ON up.key = n.key AND far = 1 LEFT JOIN nodes q ON q.key = up.above""",
     "op13_negatives": """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE vec_id IS NOT NULL
