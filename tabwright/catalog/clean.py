@@ -96,6 +96,20 @@ def _(spark, folder):
     return read_csv(spark, path, "o_orderkey bigint, o_orderstatus string, o_totalprice double, level string")
 
 
+@query("a1_csv_line_breaks", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus || chr(10) || 'said "yes", ' || chr(10) || chr(10) || o_orderpriority
+  WHEN o_orderkey % 3 = 1 THEN '""' ELSE NULL END AS note, o_totalprice
+FROM orders
+""")
+def _(spark, folder):
+    path = shared_folder(spark)
+    note = F.concat("o_orderstatus", F.lit('\nsaid "yes", \n\n'), "o_orderpriority")
+    orders = parquet(spark, folder, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, note).when(F.col("o_orderkey") % 3 == 1, '""').alias("note"), "o_totalprice")
+    orders.write.csv(path, header=True, escape='"')
+    return read_csv(spark, path, "o_orderkey bigint, note string, o_totalprice double")
+
+
 @query("c1_drop_columns", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")
 def _(spark, folder):
     return drop_columns(parquet(spark, folder, "customer"), ["c_name", "c_mktsegment", "absent"])

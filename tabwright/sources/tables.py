@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tabwright.operators.clean import quoted
 from tabwright.params import NA_TOKENS
+from tabwright.sources.records import records
 
 
 def read_csv(
@@ -24,12 +25,18 @@ def read_csv(
     A cell whose whole text is an NA token is null; the text ``None`` stays a level.
     Cells are read as text and then cast, so a token never makes a number column text.
 
-    Quoted cells may hold line breaks. A file is one task then; for large files without such cells
-    pass ``multiline=False``, which splits them and raises at a row with too few or too many cells.
+    Quoted cells may hold line breaks, and large files are split all the same, at the price of a first pass that counts
+    quotes (:mod:`tabwright.sources.records`); a file that ends inside a quoted cell is a ValueError. ``multiline=False``
+    takes every line as a row and saves that pass. A row with too few or too many cells is an error when it is read.
     """
-    raw = spark.read.option("columnPruning", multiline).csv(
-        path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline,
-        mode="PERMISSIVE" if multiline else "FAILFAST")
+    if multiline:
+        names = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=True).columns
+        cells = F.from_csv("record", ", ".join(f"c{i} string" for i in range(len(names))),
+                           {"quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST"})
+        raw = records(spark, path).where("NOT is_head").select(cells.alias("r")).select(*(F.col(f"r.c{i}").alias(c) for i, c in enumerate(names)))
+    else:
+        raw = spark.read.option("columnPruning", False).csv(
+            path, header=True, inferSchema=False, quote='"', escape='"', mode="FAILFAST")
     texts = raw.select(*(F.when(~quoted(c).isin(*na_tokens), quoted(c)).alias(c) for c in raw.columns))
     if schema is None:
         wanted = _inferred(texts)
