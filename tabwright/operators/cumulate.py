@@ -42,38 +42,38 @@ def _quantiles(df: DataFrame, order: str, buckets: int) -> tuple[int, list[float
 
 
 def running_totals(
-    table: DataFrame, order: str, sums: Sequence[str], edges: Sequence[float]
+    table: DataFrame, order: str, sums: Sequence[str], edges: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``cum_<s>`` per sum, over descending ``order``, ``all_<s>`` and ``next_<s>``.
 
     ``order`` must be a non-null double without duplicates: group first, so a value
     shared by many rows is one row here. ``all_<s>`` is the grand total, ``next_<s>``
-    the value on the following row. The table is used twice; Spark reuses the exchange that produced it.
+    the value on the following row. With ``by`` each group of these columns is cumulated on its own. The table is used twice; Spark reuses the exchange that produced it.
     """
     tagged = _tagged(table, order, edges)
 
-    # one row per bucket, at most MAX_BUCKETS: the window below and the broadcast are small
-    totals = tagged.groupBy("__bucket").agg(
+    # one row per bucket, at most MAX_BUCKETS for each group: the window below is small, and so is the broadcast of a single group
+    totals = tagged.groupBy(*by, "__bucket").agg(
         *(F.sum(s).alias(f"__total_{s}") for s in sums),
         *(F.max_by(s, order).alias(f"__head_{s}") for s in sums),
     )
-    down = Window.orderBy(F.desc("__bucket"))
+    down = Window.partitionBy(*by).orderBy(F.desc("__bucket"))
     before = down.rowsBetween(Window.unboundedPreceding, -1)
     everything = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
-        "__bucket",
+        *by, "__bucket",
         *(F.coalesce(F.sum(f"__total_{s}").over(before), F.lit(0)).alias(f"__before_{s}") for s in sums),
         *(F.sum(f"__total_{s}").over(everything).alias(f"__all_{s}") for s in sums),
         *(F.lead(f"__head_{s}").over(down).alias(f"__next_{s}") for s in sums),
     )
 
-    local = Window.partitionBy("__bucket").orderBy(F.desc(order))
+    local = Window.partitionBy(*by, "__bucket").orderBy(F.desc(order))
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     following: list[Column] = [
         F.coalesce(F.lead(s).over(local), F.col(f"__next_{s}")).alias(f"next_{s}") for s in sums
     ]
     # a left join, as an inner one adds a filter to one use of the table and so prevents reuse
-    return tagged.join(F.broadcast(offsets), "__bucket", "left").select(
+    return tagged.join(offsets if by else F.broadcast(offsets), [*by, "__bucket"], "left").select(
         *table.columns,
         *((F.sum(s).over(running) + F.col(f"__before_{s}")).alias(f"cum_{s}") for s in sums),
         *(F.col(f"__all_{s}").alias(f"all_{s}") for s in sums),

@@ -19,9 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions import confidence, map_values, positive_probability
+from tabwright.operators.bayes import bayes_fold_scores
 from tabwright.operators.clean import quoted
+from tabwright.operators.logistic import LogisticParams, fit_logistic
 from tabwright.operators.metrics import classification_report, confusion_matrix, roc_auc
 from tabwright.operators.prepare import fit_preparation
+from tabwright.operators.trees import TreeParams, fit_trees
 from tabwright.params import FeatureParams, ModelParams
 
 MAX_CLASSES = 100
@@ -57,11 +60,13 @@ CLASSIFIERS: dict[str, Callable] = {
     "naive_bayes": _bayes,
 }
 
+Settings = dict | TreeParams | LogisticParams
+
 # name -> settings of the four compared models
-COMPARED = {
-    "logistic_regression": {},
-    "decision_tree": {"minInstancesPerNode": 5},
-    "random_forest": {"numTrees": 100, "impurity": "gini", "minInstancesPerNode": 5},
+COMPARED: dict[str, Settings] = {
+    "logistic_regression": LogisticParams(),
+    "decision_tree": TreeParams(impurity="entropy", min_split=10, seed=100),
+    "random_forest": TreeParams(trees=100, per_split="sqrt", bagging=True, min_split=10, bins=512, seed=100),
     "naive_bayes": {},
 }
 
@@ -117,8 +122,13 @@ def train_prepared(
     return PipelineModel([preparation, fitted, names])
 
 
-def fit_vectors(df: DataFrame, name: str, seed: int = 100, settings: dict | None = None):
-    """Fit a classifier on ``features`` and ``label`` columns."""
+def fit_vectors(df: DataFrame, name: str, seed: int = 100, settings: Settings | None = None):
+    """Fit a classifier on ``features`` and ``label`` columns (I6-I9). Settings as a dict are for Spark's learner of that name;
+    ``TreeParams`` and ``LogisticParams`` say which of :mod:`trees` and :mod:`logistic` to fit, seed included."""
+    if isinstance(settings, TreeParams):
+        return fit_trees(df, settings)
+    if isinstance(settings, LogisticParams):
+        return fit_logistic(df, settings)
     rows = df.count() if name == "logistic_regression" else 0
     return make_classifier(name, rows, seed, settings).fit(df)
 
@@ -140,14 +150,15 @@ class FoldScores:
 
 def cross_validate(
     df: DataFrame, name: str, folds: int = 10, fold_column: str = "fold", seed: int = 100,
-    settings: dict | None = None, parallelism: int = 2,
+    settings: Settings | None = None, parallelism: int = 2,
     resample: Callable[[DataFrame], DataFrame] | None = None,
 ) -> FoldScores:
     """Accuracy of each fold by a model of the other folds.
 
     ``df`` has ``features``, ``label`` and the fold column; hold it before the call.
     ``resample`` changes the training rows of each round and leaves the judged ones alone.
-    A fold without rows is an error: the mean would be of fewer folds than asked for.
+    A fold without rows is an error: the mean would be of fewer folds than asked for. Naive Bayes at its defaults is fitted for
+    all rounds from one pass.
     """
     def one(fold: int) -> float:
         others = df.filter(F.col(fold_column) != fold)
@@ -155,11 +166,14 @@ def cross_validate(
         judged = fitted.transform(df.filter(F.col(fold_column) == fold))
         return judged.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
 
-    pool = ThreadPool(min(parallelism, folds))
-    try:
-        scores = pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds))
-    finally:
-        pool.close()
+    if name == "naive_bayes" and not settings and resample is None:
+        scores = bayes_fold_scores(df, folds, fold_column)
+    else:
+        pool = ThreadPool(min(parallelism, folds))
+        try:
+            scores = pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds))
+        finally:
+            pool.close()
     if empty := [i for i, s in enumerate(scores) if s is None]:
         raise ValueError(f"folds without rows: {empty}")
     return FoldScores(tuple(scores))
@@ -187,7 +201,7 @@ class ModelOutcome:
 
 def run_protocol(
     train_df: DataFrame, test_df: DataFrame, name: str, folds: int = 10, seed: int = 100,
-    settings: dict | None = None, parallelism: int = 2,
+    settings: Settings | None = None, parallelism: int = 2,
     resample: Callable[[DataFrame], DataFrame] | None = None,
 ) -> ModelOutcome:
     """Cross-validate, fit on all training rows, score the test rows."""

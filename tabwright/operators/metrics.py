@@ -234,20 +234,18 @@ def roc_auc_by_class(
     Two classes: the second against the first. More: the mean over each class against the
     others (J7). One row, column ``auc``.
     """
-    if len(labels) == 2:
-        ones = [1]
-    else:
-        ones = range(len(labels))
-    parts = [
-        roc_auc(
-            scored.select(quoted(label).alias("label"), F.get(quoted(probabilities), F.lit(i)).alias("score")),
-            "label", "score", labels[i], buckets,
-        )
-        for i in ones
-    ]
-    areas = reduce(DataFrame.unionByName, parts)
+    ones = [1] if len(labels) == 2 else range(len(labels))
+    known = F.when(quoted(label).isNull(), F.raise_error(F.lit("label holds a null"))).otherwise(quoted(label))
+    sides = F.array(*(F.struct(F.lit(i).alias("class"), F.get(quoted(probabilities), F.lit(i)).cast("double").alias("score"),
+                               (known == F.lit(labels[i])).cast("long").alias("is_positive")) for i in ones))
+    # classes side by side, so the scores are grouped and cumulated in one go
+    grouped = scored.select(F.inline(sides)).filter(F.col("score").isNotNull()).groupBy("class", "score").agg(
+        F.sum("is_positive").alias("pos"), F.sum(1 - F.col("is_positive")).alias("neg"))
+    points = running_totals(grouped, "score", ("pos", "neg"), bucket_edges(grouped, "score", buckets), by=("class",)).withColumnsRenamed(
+        {"cum_pos": "tp", "cum_neg": "fp"})
+    areas = points.groupBy("class").agg(*trapezoid_sums()).select(trapezoid_area().alias("auc"))
     # undefined as soon as one class is
-    return areas.agg(F.when(F.count("auc") == len(parts), F.avg("auc")).alias("auc"))
+    return areas.agg(F.when(F.count("auc") == len(ones), F.avg("auc")).alias("auc"))
 
 
 def area_under(

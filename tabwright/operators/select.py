@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.clean import numeric_columns, quoted
-from tabwright.session import laid_out, settle
+from tabwright.operators.trees import TreeParams, TreeTable, tree_table
+from tabwright.session import settle
 
 
 def anova_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -90,13 +90,11 @@ def assemble(df: DataFrame, features: Sequence[str], into: str = "features") ->
 
 def importance_ranking(
     df: DataFrame, features: Sequence[str], label: str, trees: int = 100, seed: int = 42,
-    max_depth: int = 30, top: int | None = None, ascending: bool = False, key: str | None = None,
+    max_depth: int | None = None, top: int | None = None, ascending: bool = False, key: str | None = None,
 ) -> DataFrame:
-    """Forest importances as ``(feature, importance)``, best first (G15, K1-K3). Depth 30 is the
-    greatest that Spark allows. With ``key``, a unique column of a stored table, the result does
-    not depend on the table's partitions."""
-    rows = (df if key is None else laid_out(df, key)).select(*map(quoted, features), quoted(label))
-    model = _forest(trees, seed, max_depth, label).fit(assemble(rows, features))
+    """Forest importances as ``(feature, importance)``, best first (G15, K1-K3). The result does not depend on the
+    table's partitions. ``key`` is a unique column to draw rows by; without one equal rows are drawn together."""
+    model = forest_table(df, features, label, trees, seed, max_depth, key).fit()
     return ranked_importances(df, features, model.featureImportances.toArray(), top, ascending)
 
 
@@ -111,36 +109,32 @@ def ranked_importances(df: DataFrame, features, importances, top=None, ascending
 
 def recursive_elimination(
     df: DataFrame, features: Sequence[str], label: str, keep: int = 20, step: int = 1,
-    trees: int = 100, seed: int = 42, max_depth: int = 30, key: str | None = None,
+    trees: int = 100, seed: int = 42, max_depth: int | None = None, key: str | None = None,
 ) -> tuple[list[str], dict[str, int]]:
     """Drop the least important features round by round.
 
-    Returns the kept names in original order and the rank of every feature (1 = kept).
-    The input is held for the rounds, which differ only in the columns they assemble. ``key`` is
-    as for :func:`importance_ranking`.
+    Returns the kept names in original order and the rank of every feature (1 = kept). The table is
+    stored once in the form that fits read; rounds leave columns out of it. ``key`` is as for :func:`importance_ranking`.
     """
     if step < 1:
         raise ValueError("step must be at least 1")
-    held = (df if key is None else laid_out(df, key)).select(*(quoted(c).cast("double").alias(c) for c in features), quoted(label)).persist()
-    try:
-        remaining, dropped = list(features), []
-        while len(remaining) > keep:
-            model = _forest(trees, seed, max_depth, label).fit(assemble(held.select(*map(quoted, remaining), quoted(label)), remaining))
-            scores = model.featureImportances.toArray()
-            order = sorted(range(len(remaining)), key=lambda i: scores[i])
-            gone = set(order[: min(step, len(remaining) - keep)])
-            dropped.append([remaining[i] for i in sorted(gone)])
-            remaining = [c for i, c in enumerate(remaining) if i not in gone]
-    finally:
-        held.unpersist()
-    ranks = {c: 1 for c in remaining}
-    for rank, names in enumerate(reversed(dropped), start=2):
-        ranks.update({c: rank for c in names})
-    return remaining, ranks
-
-
-def _forest(trees: int, seed: int, max_depth: int, label: str) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        featuresCol="features", labelCol=label, numTrees=trees, maxDepth=max_depth, seed=seed,
-        featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
-    )
+    held = forest_table(df, features, label, trees, seed, max_depth, key) if len(features) > keep else None
+    remaining, dropped = list(range(len(features))), []
+    while len(remaining) > keep:
+        scores = held.fit(remaining).featureImportances.toArray()
+        order = sorted(range(len(remaining)), key=lambda i: scores[i])
+        gone = set(order[: min(step, len(remaining) - keep)])
+        dropped.append([remaining[i] for i in sorted(gone)])
+        remaining = [c for i, c in enumerate(remaining) if i not in gone]
+    ranks = {features[c]: 1 for c in remaining}
+    for rank, places in enumerate(reversed(dropped), start=2):
+        ranks.update({features[c]: rank for c in places})
+    return [features[c] for c in remaining], ranks
+
+
+def forest_table(df: DataFrame, features: Sequence[str], label: str, trees: int, seed: int, max_depth: int | None, key: str | None) -> TreeTable:
+    """The table in the form that forests for importances read: gini, sqrt of the features a node, bagged."""
+    rows = df.select(F.array(*(quoted(c).cast("double") for c in features)).alias("features"), quoted(label).cast("double").alias("label"),
+                     *([quoted(key).alias("key")] if key else []))
+    params = TreeParams(trees=trees, max_depth=max_depth, per_split="sqrt", bagging=True, bins=512, seed=seed, key="key" if key else None)
+    return tree_table(rows, params)
