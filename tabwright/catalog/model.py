@@ -1,8 +1,7 @@
 """Model queries (I, K, L rows).
 
-Rows only where trees or solvers differ between engines; the same saving, scoring, writing and
-judging also runs with Gaussian naive Bayes, which SQL can fit. Every query trains on the whole
-table at the default settings, the whole exploration excepted.
+Rows only where draws differ between engines; exact trees, the logistic optimum and Gaussian naive Bayes have SQL, the
+last with the same saving, scoring, writing and judging. Every query trains on the whole table at the default settings.
 """
 
 from __future__ import annotations
@@ -27,10 +26,12 @@ from tabwright.operators.learn import (
     train,
     with_scores,
 )
+from tabwright.operators.logistic import fit_logistic
 from tabwright.operators.metrics import label_metrics
 from tabwright.operators.prepare import vector_names
 from tabwright.operators.select import assemble, ranked_importances
 from tabwright.operators.split import part, stratified_folds, stratified_split
+from tabwright.operators.trees import TreeParams, fit_trees
 from tabwright.params import FeatureParams, ModelParams, WorkflowParams
 from tabwright.plans.exploration import ExplorationParams, clean_table, encode_table, run_exploration
 from tabwright.plans.features import derive_features
@@ -52,11 +53,17 @@ def modelling_table(spark, folder) -> DataFrame:
     return laid_out(settle(derive_features(encounters(spark, folder), FeatureParams())), "encounter_id")
 
 
+def modelling_parts(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Rows to fit on, laid out, and rows to judge the fit by."""
+    table = settle(derive_features(encounters(spark, folder), FeatureParams()))
+    split = stratified_split(table, "encounter_id", "readmitted").assign(table)
+    return laid_out(part(split, "train").drop("split"), "encounter_id"), part(split, "test").drop("split")
+
+
 def vectors(spark, folder) -> DataFrame:
     """Encoded encounters as ``features`` and ``label`` with the key, written once."""
     table, features = encode_table(settle(clean_table(raw_encounters(spark, folder))), "encounter_id")
-    stored = laid_out(settle(table), "encounter_id")
-    return assemble(stored, features).select(
+    return assemble(settle(table), features).select(
         "encounter_id", "features", F.col("label").cast("double").alias("label")
     )
 
@@ -67,18 +74,24 @@ def train_and_test(spark, folder) -> tuple[DataFrame, DataFrame]:
     return part(split, "train"), part(split, "test")
 
 
+def compared(name: str, key: str = "encounter_id"):
+    """Settings of one of the four compared models; draws go by the key."""
+    settings = COMPARED[name]
+    return replace(settings, key=key) if isinstance(settings, TreeParams) else settings
+
+
 def metrics_of(name: str, spark, folder) -> DataFrame:
     train_rows, test_rows = train_and_test(spark, folder)
-    fitted = fit_vectors(train_rows, name, 100, COMPARED[name])
+    fitted = fit_vectors(train_rows, name, 100, compared(name))
     scored = with_scores(fitted.transform(test_rows))
     return label_metrics(scored, "label", "prediction", "score", 1.0)
 
 
 @query("i1_forest_metrics")
 def _(spark, folder):
-    table = modelling_table(spark, folder)
-    model = train(table, FeatureParams(), ModelParams())
-    return label_metrics(Scorer(model).predict(table), "readmitted", "prediction")
+    fitted_on, judged = modelling_parts(spark, folder)
+    model = train(fitted_on, FeatureParams(), ModelParams())
+    return label_metrics(Scorer(model).predict(judged), "readmitted", "prediction")
 
 
 @query("i6_logistic_regression")
@@ -91,6 +104,95 @@ def _(spark, folder):
     return metrics_of("decision_tree", spark, folder)
 
 
+_TREE = ("age", "num_medications", "number_inpatient", "number_emergency")
+
+
+def _tree_sql(depth: int, min_split: int) -> str:
+    """Nodes of the exact entropy tree, level by level: the counts of all candidates, their gains, the best one of each node."""
+    def entropy(pos: str, all_: str) -> str:
+        terms = [f"CASE WHEN {k} > 0 THEN {k} / {all_} * log2({k} / {all_}) ELSE 0 END" for k in (f"({all_} - {pos})", pos)]
+        return f"(-({terms[0]} + {terms[1]}))"
+
+    steps = ["""
+, l0 AS (SELECT encounter_id, CASE WHEN readmitted = '<30' THEN 1.0::DOUBLE ELSE 0.0 END AS y,
+  ["""[1:] + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0)" for c in _TREE) + "] AS x, '' AS path FROM encounters)"]
+    for d in range(depth):
+        steps.append(f"""
+v{d} AS (SELECT path, f, x[f + 1] AS v, count(*)::DOUBLE AS n, sum(y) AS p FROM l{d}, (SELECT unnest(range({len(_TREE)})) AS f) GROUP BY 1, 2, 3),
+c{d} AS (SELECT path, f, v, lead(v) OVER w AS nx, sum(n) OVER w AS nl, sum(p) OVER w AS pl, sum(n) OVER (PARTITION BY path, f) AS n,
+  sum(p) OVER (PARTITION BY path, f) AS p FROM v{d} WINDOW w AS (PARTITION BY path, f ORDER BY v)),
+g{d} AS (SELECT path, f, v / 2 + nx / 2 AS t, round({entropy('p', 'n')} - (nl * {entropy('pl', 'nl')} + (n - nl) * {entropy('(p - pl)', '(n - nl)')}) / n, 12) AS gain
+  FROM c{d} WHERE nx IS NOT NULL AND n >= {min_split} AND p > 0 AND p < n),
+b{d} AS (SELECT * FROM g{d} QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, f, t) = 1),
+l{d + 1} AS (SELECT encounter_id, y, x, l.path || CASE WHEN x[f + 1] <= t THEN 'L' ELSE 'R' END AS path FROM l{d} l JOIN b{d} b ON l.path = b.path)""")
+    none = "SELECT path, NULL::BIGINT AS f, NULL::DOUBLE AS t, NULL::DOUBLE AS gain FROM l0 WHERE false"
+    nodes = " UNION ALL ".join(
+        f"SELECT a.path, CAST(coalesce(f, -1) AS INTEGER) AS feature, round(coalesce(t, 0), 6) AS threshold, round(coalesce(gain, 0), 9) AS gain, a.n, a.positives "
+        f"FROM (SELECT path, count(*)::DOUBLE AS n, sum(y) AS positives FROM l{d} GROUP BY path) a LEFT JOIN {f'b{d}' if d < depth else f'({none})'} b ON a.path = b.path"
+        for d in range(depth + 1))
+    return ",".join(steps) + ", nodes AS (" + nodes + ")"
+
+
+def exact_tree(spark, folder, **settings):
+    rows = encounters(spark, folder).select(
+        F.array(*(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in _TREE)).alias("features"), (F.col("readmitted") == "<30").cast("double").alias("label"))
+    return fit_trees(rows, TreeParams(impurity="entropy", min_split=10, **settings))
+
+
+@query("i7_exact_tree", with_encounters(_tree_sql(4, 10) + " SELECT * FROM nodes"))
+def _(spark, folder):
+    # a small piece, so that upper nodes are split by counts over the table and lower ones in one step
+    shown = exact_tree(spark, folder, max_depth=4, piece=2_000).rules(4)
+    return shown.select("path", "feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 9).alias("gain"), "n",
+                        F.get("counts", F.lit(1)).alias("positives"))
+
+
+@query("g15_exact_importances", with_encounters(_tree_sql(4, 10) + f"""
+SELECT ['{"', '".join(_TREE)}'][f + 1] AS feature, round(coalesce(sum(gain * n), 0) / (SELECT sum(gain * n) FROM nodes), 6) AS importance
+FROM (SELECT unnest(range({len(_TREE)})) AS f) LEFT JOIN nodes ON feature = f GROUP BY f
+"""))
+def _(spark, folder):
+    found = exact_tree(spark, folder, max_depth=4).featureImportances.toArray()
+    return ranked_importances(encounters(spark, folder), _TREE, found).withColumn("importance", F.round("importance", 6))
+
+
+def _newton_sql(steps: int) -> str:
+    """Newton steps for two columns and an intercept, all penalised, the three equations solved by determinants."""
+    def det(rows: list[list[str]]) -> str:
+        (a, b, c), (d, e, f), (g, h, i) = rows
+        return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+    names, out = ("a", "b", "1.0"), []
+    for k in range(steps):
+        p = "1 / (1 + exp(-(w0 * a + w1 * b + w2)))"
+        sums = ", ".join([f"w{i} + sum(({p} - y) * {names[i]}) AS g{i}" for i in range(3)] + [
+            f"{1 if i == j else 0} + sum({p} * (1 - {p}) * {names[i]} * {names[j]}) AS h{i}{j}" for i in range(3) for j in range(i, 3)])
+        h = [[f"h{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+        moved = ", ".join(f"w{c} - {det([[f'g{i}' if j == c else h[i][j] for j in range(3)] for i in range(3)])} / {det(h)} AS w{c}" for c in range(3))
+        out.append(f"s{k} AS (SELECT w0, w1, w2, {sums} FROM t, w{k} GROUP BY w0, w1, w2), w{k + 1} AS (SELECT {moved} FROM s{k})")
+    return ", w0 AS (SELECT 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2), " + ", ".join(out)
+
+
+@query("i6_logistic_optimum", with_encounters(f"""
+, f AS (SELECT encounter_id, CAST(age AS DOUBLE) / 100 AS a, coalesce(CAST(num_lab_procedures AS DOUBLE), 0) / 100 AS b,
+    CASE WHEN readmitted = '<30' THEN 1.0 ELSE 0.0 END AS y FROM encounters),
+t AS (SELECT * FROM f){_newton_sql(12)}
+SELECT round(w0, 6) AS age, round(w1, 6) AS labs, round(w2, 6) AS intercept,
+  round((SELECT sqrt(pow(w.w0 + sum((1 / (1 + exp(-(w.w0 * a + w.w1 * b + w.w2))) - y) * a), 2) + pow(w.w1 + sum((1 / (1 + exp(-(w.w0 * a + w.w1 * b + w.w2))) - y) * b), 2)
+    + pow(w.w2 + sum(1 / (1 + exp(-(w.w0 * a + w.w1 * b + w.w2))) - y), 2)) FROM t), 4) AS gradient
+FROM w12 w
+"""))
+def _(spark, folder):
+    rows = settle(encounters(spark, folder).select(
+        F.array(F.col("age").cast("double") / 100, F.coalesce(F.col("num_lab_procedures").cast("double"), F.lit(0.0)) / 100).alias("features"),
+        (F.col("readmitted") == "<30").cast("double").alias("label")))
+    a, b, c = (float(v) for v in fit_logistic(rows).weights[0])
+    x, y = F.get("features", F.lit(0)), F.get("features", F.lit(1))
+    off = F.lit(1.0) / (F.lit(1.0) + F.exp(-(a * x + b * y + c))) - F.col("label")
+    return rows.agg(F.sqrt(F.pow(a + F.sum(off * x), 2) + F.pow(b + F.sum(off * y), 2) + F.pow(c + F.sum(off), 2)).alias("g")).select(
+        *(F.round(F.lit(v), 6).alias(n) for n, v in (("age", a), ("labs", b), ("intercept", c))), F.round("g", 4).alias("gradient"))
+
+
 @query("i8_random_forest")
 def _(spark, folder):
     return metrics_of("random_forest", spark, folder)
@@ -325,40 +427,40 @@ def _(spark, folder):
 def _outcomes(spark, folder, names) -> list[ModelOutcome]:
     train_rows, test_rows = train_and_test(spark, folder)
     folded = stratified_folds(train_rows, "encounter_id", "label", 10).assign(train_rows, "fold").persist()
-    found = [run_protocol(folded, test_rows, n, 10, settings=COMPARED[n]) for n in names]
+    found = [run_protocol(folded, test_rows, n, 10, settings=compared(n)) for n in names]
     folded.unpersist()
     return found
 
 
 @query("i11_protocol_reports")
 def _(spark, folder):
-    outcomes = _outcomes(spark, folder, ["naive_bayes", "decision_tree"])
+    outcomes = _outcomes(spark, folder, list(COMPARED))
     return reduce(DataFrame.unionByName, (o.report().withColumn("model", F.lit(o.name)) for o in outcomes))
 
 
 @query("i14_predict_with_confidence")
 def _(spark, folder):
-    table = modelling_table(spark, folder)
-    model = train(table, FeatureParams(), ModelParams())
-    scored = Scorer(model).predict_with_confidence(table, 0.8)
+    fitted_on, judged = modelling_parts(spark, folder)
+    model = train(fitted_on, FeatureParams(), ModelParams())
+    scored = Scorer(model).predict_with_confidence(judged, 0.8)
     return scored.select("encounter_id", "prediction", "confidence", "high_confidence")
 
 
 @query("j13_model_comparison")
 def _(spark, folder):
-    return compare(_outcomes(spark, folder, ["naive_bayes", "logistic_regression"]), vectors(spark, folder))
+    return compare(_outcomes(spark, folder, list(COMPARED)), vectors(spark, folder))
 
 
 @query("j14_best_model")
 def _(spark, folder):
-    outcomes = _outcomes(spark, folder, ["naive_bayes", "decision_tree"])
+    outcomes = _outcomes(spark, folder, list(COMPARED))
     return best_model(compare(outcomes, encounters(spark, folder)))
 
 
 @query("k3_forest_importances")
 def _(spark, folder):
     rows = vectors(spark, folder)
-    fitted = fit_vectors(rows, "random_forest", 100, COMPARED["random_forest"])
+    fitted = fit_vectors(rows, "random_forest", 100, compared("random_forest"))
     names = vector_names(rows)
     return ranked_importances(rows, names, fitted.featureImportances.toArray(), ascending=True)
 
@@ -373,9 +475,8 @@ def _(spark, folder):
 
 @query("l2_exploration")
 def _(spark, folder):
-    # one pass of elimination per four columns and three folds: all of step 1 and 10 folds is
-    # dozens of forests of 100 full-depth trees
-    return run_exploration(raw_encounters(spark, folder), ExplorationParams(keep=8, step=4, folds=3)).comparison
+    # the table has fewer columns than the 20 that the flow keeps by default
+    return run_exploration(raw_encounters(spark, folder), ExplorationParams(keep=8)).comparison
 
 
 @query("l3_batch_scoring")

@@ -549,6 +549,18 @@ class TreeModel:
 
         return shares
 
+    def rules(self, depth: int) -> DataFrame:
+        """tree, path (the turns from the root, L and R), feature, threshold, gain, n and counts of all nodes down to a depth."""
+        shown = ("feature", "threshold", "gain", "n", "counts")
+        level = self.nodes.where("node = 0").select("tree", F.lit("").alias("path"), "left", "right", *shown)
+        out = level
+        for _ in range(depth):
+            ways = level.where("feature >= 0").select("tree", F.inline(F.array(*(
+                F.struct(F.col(side).alias("node"), F.concat("path", F.lit(turn)).alias("path")) for side, turn in (("left", "L"), ("right", "R"))))))
+            level = ways.join(self.nodes, ["tree", "node"]).select("tree", "path", "left", "right", *shown)
+            out = out.unionByName(level)
+        return out.drop("left", "right")
+
     def save(self, path: str) -> None:
         """Writes the nodes and, as a table of its own, the sizes."""
         self.nodes.write.parquet(f"{path}/nodes")

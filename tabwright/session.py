@@ -66,6 +66,10 @@ def release(*stored: DataFrame) -> None:
 def laid_out(df: DataFrame, *key: str, rows_per_part: int = 500_000, least: int = 8) -> DataFrame:
     """Rows dealt by a hash of the key into sorted partitions, whose number follows from the number
     of rows alone. Fits that draw samples per partition then do not depend on the files or the
-    cores. The rows are counted first, so give a stored table."""
+    cores. The rows are counted first, so give a stored table. The result is a checkpoint: later passes read it, in the
+    same partitions, and neither shuffle nor sort again."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     parts = max(least, -(-df.count() // rows_per_part))
-    return df.repartition(parts, *key).sortWithinPartitions(*key)
+    return df.repartition(parts, *key).sortWithinPartitions(*key).checkpoint()
