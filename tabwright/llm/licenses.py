@@ -270,6 +270,7 @@ cc-by|creative commons|creative commons attribution
 creative-commons|creative commons|creative commons
 open-government|open government|open government licen[cs]e
 """
+#: ``.{0,60}`` is that rule's own extent: what is prohibited is named within 60 characters.
 _TERMS = r"""
 reserved|all rights reserved|all rights reserved
 reserved|alle rechte vorbehalten|alle rechte vorbehalten
@@ -301,7 +302,8 @@ copyright|(c)|\(c\) ?(19|20)[0-9]{2}
 warranty|without warranty|without warranty of any kind
 warranty|provided|provided ["'`“]{0,2}as is["'`”]{0,2}
 """
-_GAP = r"(?:[\s*#/;%-]{1,12})"
+#: Between two words: any number of blanks, line ends and comment marks, never given back.
+_GAP = r"(?:[\s*#/;%-]++)"
 
 
 def signatures() -> list[Signature]:
