@@ -5,8 +5,9 @@
    size and its excess is shared again by weight (water filling). The driver sees the sum of the
    open sources only.
 3. Whole copies of a source come first. What is left of its target is a subset-sum problem over
-   its length counts: an even share of every length is taken, then single documents while
-   they fit, and the last words are fitted exactly by a bounded-knapsack dynamic programme.
+   its length counts: very long documents are chosen by a programme over their reachable sums, an even share
+   is taken of every other length, then single documents while they fit, and the last words are fitted
+   exactly by a bounded-knapsack dynamic programme.
 4. Documents are chosen by the order of a seeded hash within their (source, length). The cut is
    found on hash buckets, so only the documents of the one bucket that holds it are ranked.
 
@@ -35,12 +36,14 @@ SIZE_PATTERN = r"[^\x20\x09-\x0D]+"
 class Mix:
     """``weights`` repeat over the sources in code-point order, null last. ``share``: words to take
     per word there is. ``most``: most copies of a source. ``window``: words that the dynamic
-    programme fits. ``bucket``: documents of one length that are ranked together."""
+    programme fits. ``sums``: reachable sums of long documents that are kept at least. ``bucket``: documents of one
+    length that are ranked together."""
 
     weights: tuple[float, ...] = (3.0, 1.0, 2.0)
     share: float = 1.5
     most: int = 2
     window: int = 32_768
+    sums: int = 20_000
     bucket: int = 2_048
     seed: int = 42
 
@@ -89,38 +92,86 @@ def source_targets(sources: DataFrame, settings: Mix = Mix()) -> DataFrame:
     return weighed.select("source", "total", F.least("cap", F.col("weight") * F.lit(level)).alias("target"))
 
 
-def fit_lengths(length: np.ndarray, count: np.ndarray, budget: int, window: int) -> np.ndarray:
+def fit_lengths(length: np.ndarray, count: np.ndarray, budget: int, window: int, most_sums: int = 20_000) -> np.ndarray:
     """How many documents of each length to take so that their words come to ``budget`` exactly or
-    as near to it as the lengths allow within the last ``window`` words. Lengths are positive
-    and distinct."""
+    as near to it as the lengths allow. Lengths are positive and distinct.
+
+    The programme fits the last ``window`` words. Lengths over half of that are chosen before, by a programme over
+    the set of their reachable sums, for what the others can fill up."""
     taken = np.zeros(len(length), np.int64)
     total = int((length * count).sum())
     if budget >= total:
         return count.copy()
     if budget <= 0:
         return taken
-    # documents too long for the programme in proportion, then an even share of all others that
-    # leaves room for it
-    left, wide = budget, length > window // 2
-    for i in np.flatnonzero(wide)[::-1].tolist():
-        taken[i] = min(int(2 * int(count[i]) * budget + total) // (2 * total), left // int(length[i]), int(count[i]))
-        left -= int(taken[i] * length[i])
+    wide = length > window // 2
     others = int((length * count)[~wide].sum())
+    if wide.any():
+        taken[wide] = _long(length[wide], count[wide], budget, others, most_sums)
+    left = budget - int((length * taken).sum())
+    if left <= 0:
+        return taken
+    # an even share of all others that leaves room for the programme
     share = min(max(0, left - window // 2), others)
     for i in np.flatnonzero(~wide).tolist() if others else []:
         taken[i] = int(count[i]) * share // others
     left = budget - int((length * taken).sum())
-    # long documents first while more is left than the programme fits
+    # the longest of them first while more is left than the programme fits
     for room in (window // 2, 0):
-        for i in np.argsort(-length, kind="stable").tolist():
+        for i in np.flatnonzero(~wide)[np.argsort(-length[~wide], kind="stable")].tolist():
             if left <= window:
                 break
             more = min(int(count[i] - taken[i]), (left - room) // int(length[i]))
             if more > 0:
                 taken[i] += more
                 left -= more * int(length[i])
-    span = min(left, window)
-    return taken + _knapsack(length, count - taken, span)
+    return taken + _knapsack(np.where(wide, 2 * window + 1, length), count - taken, min(left, window))
+
+
+#: Documents of one length, and lengths, that the sums of long documents are made of; what is beyond goes in proportion.
+_OPEN, _LENGTHS = 8, 64
+
+
+def _long(length: np.ndarray, count: np.ndarray, budget: int, others: int, most_sums: int) -> np.ndarray:
+    """Long documents whose words leave of ``budget`` what ``others`` words can fill, or come nearest to that; among
+    such sums the one nearest to the long documents' share. All documents above their proportion less
+    a few are open. Sums are kept exactly while there are at most ``most_sums``; of more, the least of each of so many
+    equal ranges, so that the sum found misses the best by little more than a range a step."""
+    total = int((length * count).sum()) + others
+    even, carried = np.zeros(len(length), np.int64), 0
+    for i in range(len(length) - 1, -1, -1):  # in proportion; what rounding leaves goes to the next shorter length
+        ideal = int(count[i]) * int(length[i]) * budget // total + carried
+        even[i] = min(ideal // int(length[i]), int(count[i]))
+        carried = ideal - int(even[i] * length[i])
+    base = np.maximum(0, even - _OPEN // 2)
+    free = np.minimum(count - base, _OPEN)
+    if len(length) > _LENGTHS:  # a spread of lengths stays open, the others keep their proportion
+        shut = np.ones(len(length), bool)
+        shut[np.linspace(0, len(length) - 1, _LENGTHS).astype(int)] = False
+        base[shut] = even[shut]
+        free[shut] = 0
+    fixed = int((length * base).sum())
+    top = 2 * budget
+    sums, steps = np.array([fixed], np.int64), []
+    for i in np.flatnonzero(free).tolist():
+        left, size = int(free[i]), 1
+        while left:
+            size = min(size, left)
+            steps.append((i, size, sums))
+            more = np.union1d(sums, sums + size * int(length[i]))
+            more = more[more <= max(top, fixed)]
+            if len(more) > most_sums:
+                more = more[np.unique((more - more[0]) * most_sums // (more[-1] - more[0] + 1), return_index=True)[1]]
+            sums, left, size = more, left - size, size * 2
+    miss = np.maximum(np.maximum(sums - budget, budget - others - sums), 0)
+    share = (total - others) * budget // total
+    at = int(sums[np.lexsort((sums, np.abs(sums - share), miss))[0]])
+    taken = base
+    for i, size, before in reversed(steps):
+        if before[min(np.searchsorted(before, at), len(before) - 1)] != at:
+            taken[i] += size
+            at -= size * int(length[i])
+    return taken
 
 
 def _knapsack(length: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
@@ -179,7 +230,7 @@ def mix(docs: DataFrame, *, text: str = "text", source: str = "source", id_colum
         if some.any():
             order = np.argsort(length[some], kind="stable")
             fitted = np.zeros(int(some.sum()), np.int64)
-            fitted[order] = fit_lengths(length[some][order], count[some][order], round(target) - copies * total, window)
+            fitted[order] = fit_lengths(length[some][order], count[some][order], round(target) - copies * total, window, settings.sums)
             more[some] = fitted
         return group.assign(copies=copies, extra=more)[["source", "size", "n", "total", "target", "copies", "extra"]]
 
