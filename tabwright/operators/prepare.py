@@ -20,20 +20,21 @@ from tabwright.operators.quality import missing_columns
 from tabwright.operators.quantiles import exact_medians
 from tabwright.params import FeatureParams
 
-# the levels become slots of the vector, so a model with more is not usable anyway
+# the levels become slots of the vector and entries of its schema, which the driver holds
 MAX_LEVELS = 1_000_000
 
 
 class TablePreparer:
     """Fit on one table, apply to any: numerics first, then one-hot levels."""
 
-    def __init__(self, features: FeatureParams = FeatureParams(), model: PipelineModel | None = None):
+    def __init__(self, features: FeatureParams = FeatureParams(), model: PipelineModel | None = None, max_levels: int = MAX_LEVELS):
         self.features = features
         self.model = model
+        self.max_levels = max_levels
 
     def fit(self, df: DataFrame) -> TablePreparer:
         self.model = fit_preparation(
-            drop_columns(df, self.features.dropped), self.features.numeric, self.features.categorical
+            drop_columns(df, self.features.dropped), self.features.numeric, self.features.categorical, max_levels=self.max_levels
         )
         return self
 
@@ -115,11 +116,12 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_preparation(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], into: str = "features"
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], into: str = "features",
+    max_levels: int = MAX_LEVELS,
 ) -> PipelineModel:
     """Fit G1-G4 and chain them into one vector column.
 
-    An unknown or null level at transform becomes, respectively, all zeros or the mode.
+    Each level is a slot of the vector; a column with more than ``max_levels`` is a ValueError. An unknown or null level at transform becomes, respectively, all zeros or the mode.
     """
     missing = missing_columns(df, (*numeric, *categorical))
     if missing:
@@ -129,7 +131,7 @@ def fit_preparation(
         raise ValueError(f"Column {texts[0]} must be numeric")
 
     stats = numeric_statistics(df, numeric)
-    levels = _levels(df, categorical)
+    levels = _levels(df, categorical, max_levels)
     expressions, hidden = [], []
     for c, (median, mean, std) in stats.items():
         number = f"coalesce(nanvl(cast({_name(c)} as double), cast(null as double)), {_double(median)})"
@@ -163,12 +165,12 @@ def fit_preparation(
     return PipelineModel(stages)
 
 
-def _levels(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[str, list[str]]]:
+def _levels(df: DataFrame, columns: Sequence[str], max_levels: int) -> dict[str, tuple[str, list[str]]]:
     """Mode and sorted levels per column; a column without any level is left out."""
     if not columns:
         return {}
     sizes = df.agg(*(F.approx_count_distinct(quoted(c)).alias(c) for c in columns)).first()
-    wide = [c for c in columns if sizes[c] > MAX_LEVELS]
+    wide = [c for c in columns if sizes[c] > max_levels]
     if wide:
         raise ValueError(f"{wide[0]} has too many levels for one slot each")
     counts: dict[str, list] = {}

@@ -3,9 +3,11 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 from tabwright.operators.prepare import (
     TablePreparer,
+    fit_preparation,
     impute,
     most_frequent,
     numeric_statistics,
@@ -83,3 +85,9 @@ def test_standardize_properties(spark):
 
 def test_names_from_metadata(frame):
     assert len(vector_names(TablePreparer(FEATURES).fit_transform(frame))) == 6
+
+
+def test_more_levels_than_allowed_are_refused(spark):
+    frame = spark.range(50).select(F.col("id").alias("x"), F.col("id").cast("string").alias("t"))
+    with pytest.raises(ValueError, match="too many levels"):
+        fit_preparation(frame, ["x"], ["t"], max_levels=20)
