@@ -244,12 +244,12 @@ def quality_report(docs: DataFrame, labels: DataFrame, *, host: str = "source",
 def keep_good(docs: DataFrame, corpus: DataFrame, labels: DataFrame, *, host: str = "source", path: str = "lang",
               settings: Quality = Quality()) -> DataFrame:
     """The documents that are not rejected; columns as they came. ``corpus``: where the labelled
-    documents are found."""
+    documents are found. The documents are stored with their evidence, so that it is computed once."""
     model, held_out = fit_classifier(corpus, labels, settings, host=host, path=path)
     (p,) = fresh(docs, "evidence")
-    scored = docs.withColumn(p, model.column(F.col("text")))
-    posteriors = site_posteriors(settle(scored.select(
-        F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.col(p).alias("p"))))
+    scored = settle(docs.withColumn(p, model.column(F.col("text"))))
+    posteriors = site_posteriors(scored.select(
+        F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.col(p).alias("p")))
     out, (_, score) = joined(scored, p, host, path, posteriors, settings)
     cut = threshold(held_out_scores(held_out, posteriors, settings), settings)
     return out.where(F.col(score) >= cut).select(*docs.columns)
