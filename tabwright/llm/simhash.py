@@ -11,6 +11,14 @@ Copies fall together before any pairing: the tables hold distinct fingerprints.
 bucket yields the edges of a spanning forest of its links, not all pairs. A bucket of more than
 ``block`` fingerprints is cut into blocks by hash, and every pair of blocks is a group of its
 own; so no group is larger than two blocks and no link is lost.
+
+Near copies by shingles (drop_near_copies): two texts whose five-word shingles agree to 0.8 differ in about
+nine bits of a fingerprint of shingles, as every changed word changes five of them, but in about three bits of one of
+their distinct words. So candidates come from word fingerprints within 7 bits, by masks in two levels: of two halves
+of the bits one has at most half of the differing ones, and covering masks over that half find those. In each
+bucket the links of a minimum spanning forest are proposed, short ones first, and those of each fingerprint to
+its nearest others, not all pairs. Each proposed link is verified on the whole sets of shingle hashes of its two texts; the connected
+components of verified links are the groups.
 """
 
 from __future__ import annotations
@@ -196,3 +204,189 @@ def drop_near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: st
     first = settle(first)
     kept = keyed.join(first, (keyed[key] == first["k"]) & (keyed[digest] == first["h"]), "left_semi")
     return kept.dropDuplicates([key, digest]).select(*docs.columns)
+
+
+@dataclass(frozen=True)
+class NearCopies:
+    """``shingle`` and ``similarity``: what makes a near copy. ``radius``: most differing bits of a candidate's word fingerprint.
+    ``parts``: pieces of the fingerprint whose masks cover their share of the radius. ``nearest``: others of its bucket that a
+    text is held against besides the spanning forest. ``block``: fingerprints compared in one group (two blocks at most)."""
+
+    shingle: int = 5
+    similarity: float = 0.8
+    radius: int = 7
+    parts: int = 2
+    nearest: int = 4
+    block: int = 1024
+
+
+def word_print(words: list[bytes]) -> int:
+    """SimHash over XXH64 (seed 42) of the distinct words; 0 without words."""
+    if not words:
+        return 0
+    hashed = np.array([xxhash.xxh64_intdigest(w, 42) for w in set(words)], "<u8").view(np.uint8).reshape(-1, 8)
+    counts = np.unpackbits(hashed, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashed), bitorder="little").tobytes(), "little", signed=True)
+
+
+def shingle_set(words: list[bytes], width: int) -> np.ndarray:
+    """Sorted distinct 32-bit hashes of the shingles; of fewer words the one shingle is all of them."""
+    if not words:
+        return np.zeros(0, np.uint32)
+    width = min(width, len(words))
+    return np.unique(np.fromiter((xxhash.xxh32_intdigest(b" ".join(words[i: i + width]), 42) for i in range(len(words) - width + 1)), np.uint32))
+
+
+def two_level_masks(radius: int, parts: int) -> list[int]:
+    """Masks; any two numbers of 64 bits that differ in at most ``radius`` agree under one. A part that holds at most
+    ``radius // parts`` differing bits exists, and its masks cover so many as in :mod:`tabwright.llm.simhash`."""
+    own = radius // parts
+    top = (1 << (own + 1)) - 1
+    out = []
+    for part in range(parts):
+        places = range(part * BITS // parts, (part + 1) * BITS // parts)
+        vectors = {i: 1 + n % top for n, i in enumerate(places)}
+        out += [sum(1 << i for i, m in vectors.items() if (m & v).bit_count() & 1) for v in range(1, top + 1)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in out]
+
+
+def shortest_links(bucket: np.ndarray, radius: int, nearest: int = 0) -> tuple[list[int], list[int]]:
+    """Edges of a minimum spanning forest of the links that a bucket's distinct numbers have within the radius, and the
+    links of each to its ``nearest`` others."""
+    rest = np.unique(bucket)
+    a: list[int] = []
+    b: list[int] = []
+    for at in range(0, len(rest), 256) if nearest else ():
+        far = np.bitwise_count((rest[at: at + 256, None] ^ rest).view(np.uint64)).astype(np.int64)
+        far[np.arange(len(far)), at + np.arange(len(far))] = BITS + 1
+        some = np.argsort(far, axis=1, kind="stable")[:, :nearest]
+        i, j = np.nonzero(np.take_along_axis(far, some, 1) <= radius)
+        a += rest[at + i].tolist()
+        b += rest[some[i, j]].tolist()
+    while len(rest) > 1:
+        root, rest = rest[0], rest[1:]
+        near = np.bitwise_count((rest ^ root).view(np.uint64)).astype(np.int64)  # of the tree to each that is left
+        by = np.full(len(rest), root)
+        while len(rest):
+            i = int(near.argmin())
+            if near[i] > radius:
+                break  # the tree is complete
+            new = rest[i]
+            a.append(int(by[i]))
+            b.append(int(new))
+            keep = np.arange(len(rest)) != i
+            rest, near, by = rest[keep], near[keep], by[keep]
+            distance = np.bitwise_count((rest ^ new).view(np.uint64)).astype(np.int64)
+            closer = distance < near
+            near[closer], by[closer] = distance[closer], new
+    return a, b
+
+
+def candidate_links(distinct: DataFrame, settings: NearCopies) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints, column ``fp``."""
+    radius = settings.radius
+    tables = distinct.select("fp", F.explode(F.array(*(
+        F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask))) for i, mask in enumerate(two_level_masks(radius, settings.parts))))).alias("key"))
+    shared = tables.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / settings.block)
+    mine = F.pmod(F.xxhash64("fp", F.lit("block")), blocks)
+    # block i meets every block j in the group (smaller, larger)
+    grouped = (tables.join(shared, "key")
+               .select("key", "fp", mine.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"))
+               .groupBy("key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).agg(F.collect_list("fp").alias("members"))
+               .where(F.size("members") > 1).select("members"))
+
+    def span(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a: list[int] = []
+            b: list[int] = []
+            column = batch.column(0)
+            values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+            for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                if hi - lo == 2:  # most buckets
+                    x, y = int(values[lo]), int(values[lo + 1])
+                    if x != y and ((x ^ y) & ((1 << BITS) - 1)).bit_count() <= radius:
+                        a.append(min(x, y))
+                        b.append(max(x, y))
+                    continue
+                x, y = shortest_links(values[lo:hi], radius, settings.nearest)
+                a += map(min, x, y)
+                b += map(max, x, y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return grouped.mapInArrow(span, "a long, b long").distinct()
+
+
+def drop_near_copies(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", settings: NearCopies = NearCopies()) -> DataFrame:
+    """One document of each group, the one with the least id (null ids last; of rows with one id, the one
+    with the least text hash, and one of equal rows). Columns as they came.
+
+    Equal words are copies, whatever blanks and cases of A-Z are between them. Null and empty texts, and texts of blanks, are copies of
+    each other. A text of fewer than five words is a shingle of its own.
+    """
+    key, digest = fresh(docs, "dedup_id", "dedup_text")
+    keyed = docs.withColumns({key: F.coalesce(F.col(id_column).cast("string"), F.lit("")), digest: F.xxhash64(F.col(text), F.col(text).isNull())})
+
+    def prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, nodes = [], []
+            for t in byte_texts(batch.column(3)):
+                words = (t or b"").lower().split()  # at \x20 and \x09-\x0D
+                fps.append(word_print(words))
+                nodes.append(int.from_bytes(xxhash.xxh64_digest(b" ".join(words), 7), "little", signed=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(fps, pa.int64()), pa.array(nodes, pa.int64())],
+                                             names=["id", "k", "h", "fp", "node"])
+
+    shape = keyed.select(F.col(id_column).alias("id"), F.col(key).alias("k"), F.col(digest).alias("h"), F.lit(0).cast("long").alias("fp"),
+                         F.lit(0).cast("long").alias("node")).schema
+    rows = settle(keyed.select(F.col(id_column).alias("id"), F.col(key).alias("k"), F.col(digest).alias("h"), F.col(text).alias("text")).mapInArrow(prints, shape))
+    nodes = settle(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min(F.struct("k", "h")).alias("one"),
+                                            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h")).alias("least")))
+    heads = settle(nodes.groupBy("fp").agg(F.min("node").alias("head")))
+    between = settle(candidate_links(heads, settings))
+    # the texts of one fingerprint are held against the first of them, the firsts of linked fingerprints against each other
+    inside = nodes.join(heads, "fp").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    across = between.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("head_a")), "a").join(
+        heads.select(F.col("fp").alias("b"), F.col("head").alias("head_b")), "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
+    proposed = settle(inside.unionByName(across))
+    verified = settle(_verified(keyed, key, digest, text, nodes, proposed, settings))
+    roots = connected(verified)
+    grouped = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
+    first = settle(grouped.groupBy("root").agg(F.min("least").alias("best")).select(
+        F.coalesce(F.col("best.id").cast("string"), F.lit("")).alias("k"), F.col("best.h").alias("h")).distinct())
+    kept = keyed.join(first, (keyed[key] == first["k"]) & (keyed[digest] == first["h"]), "left_semi")
+    return kept.dropDuplicates([key, digest]).select(*docs.columns)
+
+
+def _verified(keyed: DataFrame, key: str, digest: str, text: str, nodes: DataFrame, proposed: DataFrame, settings: NearCopies) -> DataFrame:
+    """The proposed links whose texts' shingle sets are similar enough. One row of each text that has a link gives its set."""
+    linked = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = nodes.join(linked, "node", "left_semi").select("node", F.col("one.k").alias("k"), F.col("one.h").alias("h"))
+    width, least = settings.shingle, settings.similarity
+
+    def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set((t or b"").lower().split(), width).tobytes() for t in byte_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
+
+    found = keyed.select(F.col(key).alias("__k"), F.col(digest).alias("__h"), F.col(text).alias("__text")).join(
+        wanted, (F.col("__k") == F.col("k")) & (F.col("__h") == F.col("h"))).dropDuplicates(["node"]).select("node", "__text")
+    sets = settle(found.mapInArrow(shingles, "node long, set binary"))
+
+    def similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
+                shorter, longer = sorted((len(x), len(y)))
+                if shorter < least * longer:  # the sets cannot agree so far
+                    keep.append(False)
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= least * (len(x) + len(y) - both))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+
+    pairs = proposed.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b").select("a", "b", "set_a", "set_b")
+    return pairs.mapInArrow(similar, "a long, b long")

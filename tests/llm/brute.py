@@ -105,3 +105,38 @@ def targets(totals: dict[str | None, int], weights=(3, 1, 2), share=1.5, most=2)
             left -= most * totals[s]
             open_.discard(s)
     return out
+
+
+def shingle_groups(texts: list[str | None], ids: list[int], width: int = 5, least: float = 0.8) -> tuple[list[set], int]:
+    """Groups of ids that links of at least that similarity connect, by all pairs that share a shingle, and the number of links
+    between different sequences of words."""
+    sets = []
+    for text in texts:
+        words = SPACED.findall((text or "").translate(LOWER))
+        w = min(width, len(words))
+        sets.append(frozenset(" ".join(words[i: i + w]) for i in range(len(words) - w + 1)) if words else frozenset([""]))
+    first, parent = {}, {}
+    for i, s in zip(ids, sets):
+        parent[i] = first.setdefault(s, i)
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    where, shared, links = defaultdict(list), defaultdict(int), 0
+    for s in first:
+        for x in s:
+            where[x].append(s)
+    for holders in where.values():
+        for j, b in enumerate(holders):
+            for a in holders[:j]:
+                shared[a, b] += 1
+    for (a, b), n in shared.items():
+        if n >= least * (len(a) + len(b) - n):
+            links += 1
+            parent[root(first[a])] = root(first[b])
+    groups = defaultdict(set)
+    for i in ids:
+        groups[root(i)].add(i)
+    return list(groups.values()), links
