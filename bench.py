@@ -33,11 +33,16 @@ HEADLINE = [
     "g18_oversample",
     "h1_three_way_split",
     "h3_stratified_folds",
+    "i6_logistic_regression",
+    "i7_decision_tree",
+    "i8_random_forest",
     "i9_naive_bayes",
+    "i10_cross_validation",
     "j1_label_metrics",
     "j5_roc_auc",
     "j9_roc_curve",
     "j12_classification_report",
+    "l1_training_run",
     "l3_batch_scoring",
 ]
 

@@ -29,7 +29,7 @@ from tabwright.operators.clean import (
     string_columns,
 )
 from tabwright.operators.profile import value_counts
-from tabwright.operators.quality import check_all, rule_report
+from tabwright.operators.quality import all_passed, check_all, require_valid, rule_report
 from tabwright.params import (
     AGE_EDGES,
     AGE_LABELS,
@@ -41,8 +41,9 @@ from tabwright.params import (
     FeatureParams,
     WorkflowParams,
 )
+from tabwright.plans.exploration import encode_table
 from tabwright.plans.features import derive_features, group_diagnoses
-from tabwright.session import shared_folder
+from tabwright.session import settle, shared_folder
 from tabwright.sources.tables import parquet, read_csv
 
 NUMBER_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -165,6 +166,35 @@ def _(spark, folder):
     )
 
 
+@query("d5_first_broken_rule", """
+WITH t AS (SELECT o_orderpriority AS part, CASE WHEN o_orderpriority < '3' THEN nullif(o_orderstatus, 'P') ELSE o_orderstatus END AS status FROM orders
+  WHERE o_orderpriority < '5' OR o_orderstatus <> 'P'),
+f AS (SELECT part, count_if(status IS NULL) AS nulls, count_if(NOT status IN ('F', 'O')) AS off_domain FROM t GROUP BY part)
+SELECT part, CASE WHEN nulls > 0 THEN 'Data contains missing values'
+  WHEN off_domain > 0 THEN 'Target variable must contain only ''F'' or ''O''' ELSE 'valid' END AS outcome FROM f
+UNION ALL SELECT 'all', CASE WHEN sum(nulls) > 0 THEN 'Data contains missing values' ELSE 'valid' END FROM f
+UNION ALL SELECT 'without status', 'Missing required columns: [''o_orderstatus'']'
+UNION ALL SELECT 'by price', 'o_totalprice must be numeric'
+""")
+def _(spark, folder):
+    low, partial = F.col("o_orderpriority") < "3", F.col("o_orderstatus") == "P"
+    orders = settle(parquet(spark, folder, "orders").where((F.col("o_orderpriority") < "5") | ~partial).withColumn(
+        "o_orderstatus", F.when(low & partial, None).otherwise(F.col("o_orderstatus"))))
+
+    def outcome(rows, integers=("o_orderkey",)):
+        try:
+            require_valid(rows, ["o_orderkey", "o_orderstatus"], integers, "o_orderstatus", ["F", "O"])
+        except ValueError as error:
+            return str(error)
+        return "valid"
+
+    parts = sorted(r[0] for r in orders.select("o_orderpriority").distinct().collect())
+    found = [(p, outcome(orders.where(F.col("o_orderpriority") == p))) for p in parts]
+    found += [("all", outcome(orders)), ("without status", outcome(orders.drop("o_orderstatus"))),
+              ("by price", outcome(orders.where(F.col("o_orderstatus").isNotNull()), ["o_totalprice"]))]
+    return spark.createDataFrame(found, "part string, outcome string")
+
+
 _SHARES = " , ".join(
     f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)" for c in (
         "race", "gender", "age", "time_in_hospital", "num_lab_procedures", "num_procedures",
@@ -186,6 +216,37 @@ def _(spark, folder):
     return check_all(cleaned(spark, folder), params).withColumn("detail", F.round("detail", 6))
 
 
+_LIMITS = (0.01, 0.2, 0.21, 0.25, 0.5)
+
+
+@query("d11_gate", with_encounters(CLEANED + f"""
+, shares AS (SELECT greatest({_SHARES}) AS worst FROM cleaned),
+classes AS (SELECT min(n) * 1.0 / sum(n) AS least FROM (SELECT count(*) AS n FROM cleaned GROUP BY readmitted)),
+limits AS (SELECT unnest([{', '.join(map(str, _LIMITS))}])::DOUBLE AS null_share)
+SELECT null_share, worst <= null_share AND least >= 0.01 AS passed FROM limits, shares, classes
+"""))
+def _(spark, folder):
+    table = settle(cleaned(spark, folder))
+    features = FeatureParams(numeric=("age", "num_lab_procedures"), categorical=("race", "gender"))
+    return spark.createDataFrame(
+        [(x, all_passed(check_all(table, WorkflowParams(features=features, null_share_limit=x)))) for x in _LIMITS], "null_share double, passed boolean")
+
+
+_FILLED = ("time_in_hospital", "num_lab_procedures", "num_procedures", "number_diagnoses")
+
+
+@query("c8_encoded_table", with_encounters(CLEANED + f"""
+SELECT encounter_id, CAST(dense_rank() OVER (ORDER BY coalesce(race, 'Missing')) - 1 AS DOUBLE) AS race,
+  CAST(dense_rank() OVER (ORDER BY coalesce(gender, 'Missing')) - 1 AS DOUBLE) AS gender,
+  CAST(dense_rank() OVER (ORDER BY discharge_disposition_id) - 1 AS DOUBLE) AS discharge_disposition_id,
+  {', '.join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM cleaned)) AS {c}" for c in _FILLED)},
+  CASE WHEN readmitted = '<30' THEN 1 ELSE 0 END AS label FROM cleaned
+"""))
+def _(spark, folder):
+    table, _ = encode_table(settle(cleaned(spark, folder)), "encounter_id")
+    return table.select("encounter_id", "race", "gender", "discharge_disposition_id", *_FILLED, "label")
+
+
 @query("f1_code_group", with_encounters(f"""
 SELECT encounter_id, {sql_group('diag_1')} AS group_1, {sql_group('diag_3')} AS group_3 FROM encounters
 """))
