@@ -6,9 +6,10 @@ so the highest scores are the nearest rows and the triangle inequality holds.
 
 Every row is keyed by its nearest pivot and its distance to it. Range partitioning by that key
 and one pass cut each pivot's cell into annuli of at most ``block`` rows. A query's first bound is
-its k-th best in its own annulus. Groups of query blocks then meet shelves of annuli; in
-each meeting the annuli are expanded in order of the best score that the bound
-|d(q, p) - r| allows, and the expansion stops for a query when that is below its k-th best.
+its k-th best in its own annulus. Facts of the annuli alone (cell, ends, size) are then held against the queries: an annulus
+goes only to those groups of query blocks that have a query whose bound |d(q, p) - r| allows it. There
+groups meet shelves of annuli, which are expanded in order of the best score that the bound allows, and the
+expansion stops for a query when that is below its k-th best.
 Pivots are few and chosen from a bounded sample; they steer the order, never the result.
 """
 
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ class TopK:
     sample: int = 2_000
     block: int = 512
     shelf: int = 128
-    queries: int = 8
+    queries: int = 128
     seed: int = 42
 
 
@@ -182,6 +184,42 @@ class Best:
         return np.where(self.full[:, -1], self.score[:, -1].astype(np.float64), -np.inf)
 
 
+def _known_bounds(ask) -> np.ndarray:
+    """What each query of a block has found already."""
+    bound = np.full(ask.n, -np.inf)
+    for x in ask.known if ask.known is not None else ():
+        bound[x["place"]] = x["bound"]
+    return bound
+
+
+def _best_allowed(q: np.ndarray, pivots: Pivots, annuli: pd.DataFrame) -> np.ndarray:
+    """The best score of each query with any row of each annulus that the triangle inequality allows."""
+    floats = q.astype(np.float64)
+    total = ((floats ** 2).sum(1) + pivots.norm ** 2)[:, None]
+    d = pivots.distances(floats, True)[:, annuli["cell"].to_numpy(int)]
+    least = np.maximum(0, np.maximum(d - annuli["high"].to_numpy(), annuli["low"].to_numpy() - d))
+    return (total - least ** 2) / 2 + 1e-9 * (total + 1) + 1  # room for rounding
+
+
+def allowed_pairs(index: DataFrame, asking: DataFrame, pivots: Broadcast, shelves: int, groups: int) -> DataFrame:
+    """annulus, shelf, part: which annuli a group of query blocks can use, from facts of the annuli; their rows stay where they are."""
+    facts = index.select(F.col("block").alias("annulus"), "dim", "cell", "low", "high", F.pmod(F.xxhash64("block"), F.lit(shelves)).cast("int").alias("shelf"),
+                         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+    queries = asking.select("part", "dim", "n", "rows", "known", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"))
+
+    def plan(annuli: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
+        wanted: set[int] = set()
+        for ask in asks.itertuples(index=False):
+            mine = annuli[annuli["dim"] == ask.dim]
+            if len(mine):
+                use = (_best_allowed(_numbers(ask), pivots.value, mine) >= _known_bounds(ask)[:, None]).any(0)
+                wanted.update(mine["annulus"][use].tolist())
+        at = annuli.iloc[0] if len(annuli) else {"shelf": 0, "part": 0}
+        return pd.DataFrame({"annulus": sorted(wanted), "shelf": int(at["shelf"]), "part": int(at["part"])})
+
+    return settle(facts.groupBy("shelf", "part").cogroup(queries.groupBy("shelf", "part")).applyInPandas(plan, "annulus long, shelf int, part int"))
+
+
 def search(vectors: DataFrame, settings: TopK = TopK()) -> DataFrame:
     """query_id, rank, vec_id, score for every row whose vec_id is divisible by ``every``.
 
@@ -227,30 +265,20 @@ def search(vectors: DataFrame, settings: TopK = TopK()) -> DataFrame:
     known = (places.join(bounds, (F.col("q_id") == F.col("vec_id")) & (F.col("q_v") == F.col("v")))
              .groupBy("block").agg(F.collect_list(F.struct("place", "bound")).alias("known")))  # at most a block's rows
     ready = settle(queries.join(known, "block", "left"))
-    left = index.select("dim", "cell", "low", "high", "n", "ids", "rows", F.pmod(F.xxhash64("block"), F.lit(shelves)).alias("shelf"),
-                        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
-    right = ready.select("dim", "n", "ids", "rows", "block", "known", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("part"),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shelves - 1).cast("long"))).alias("shelf"))
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
+    asking = ready.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
+    pairs = allowed_pairs(index, asking, shared, shelves, groups)
+    left = index.join(pairs.withColumnRenamed("annulus", "block"), "block").select("dim", "cell", "low", "high", "n", "ids", "rows", "shelf", "part")
+    right = asking.join(pairs.select(F.col("shelf").alias("on"), F.col("part").alias("by")).distinct(), F.col("part") == F.col("by")).select(
+        "dim", "n", "ids", "rows", "block", "known", "on", "by")
 
     def meet(annuli: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         out = []
         for ask in asking.itertuples(index=False):
             ids, q = np.frombuffer(ask.ids, np.int64), _numbers(ask)
-            floats = q.astype(np.float64)
-            bound = np.full(len(ids), -np.inf)
-            if ask.known is not None:
-                for x in ask.known:
-                    bound[x["place"]] = x["bound"]
-            total = (floats ** 2).sum(1) + pivots_norm ** 2
-            to_pivot = shared.value.distances(floats, True)
+            bound = _known_bounds(ask)
             mine = annuli[annuli["dim"] == ask.dim]
-            tops = []
-            for ring in mine.itertuples(index=False):
-                d = to_pivot[:, ring.cell]
-                least = np.maximum(0, np.maximum(d - ring.high, ring.low - d))
-                top = (total - least ** 2) / 2
-                tops.append(top + 1e-9 * (total + 1) + 1)  # room for rounding
+            tops = list(_best_allowed(q, shared.value, mine).T)
             best = Best(len(ids), k)
             for i in sorted(range(len(tops)), key=lambda i: -tops[i].max()):
                 need = np.maximum(bound, best.floor())
@@ -264,8 +292,7 @@ def search(vectors: DataFrame, settings: TopK = TopK()) -> DataFrame:
             out.append(pd.DataFrame({"block": ask.block, "place": a, "query_id": ids[a], "vec_id": best.ids[a, b], "score": best.score[a, b]}))
         return pd.concat(out) if out else pd.DataFrame({"block": [], "place": [], "query_id": [], "vec_id": [], "score": []})
 
-    pivots_norm = pivots.norm
-    found = left.groupBy("shelf", "part").cogroup(right.groupBy("shelf", "part")).applyInPandas(
+    found = left.groupBy("shelf", "part").cogroup(right.groupBy("on", "by")).applyInPandas(
         meet, "block long, place long, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("block", "place").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
