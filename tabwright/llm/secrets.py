@@ -130,11 +130,15 @@ def _closed(parsed) -> tuple[set[str] | None, list[frozenset[str]]]:
     return None, _both(needed, _any_of(exact))
 
 
+#: Rules that one long tells of.
+_RULE_BITS = 62
+
+
 class TrigramIndex:
     """Postings of the trigrams that the rules ask for, over one table of texts.
 
     ``postings``: a stored table (trigram int, key long). ``candidates()``: one row per key with
-    any candidate rule, and the rules as bits of a long.
+    any candidate rule, and the rules as bits of an array of longs, 62 in each.
     """
 
     def __init__(self, texts: DataFrame, key: str, text: str, rules: tuple[Rule, ...] = RULES):
@@ -164,14 +168,15 @@ class TrigramIndex:
                 out = out & (F.col(f"w{w}").bitwiseAND(F.lit(need)) == F.lit(need))
             return out
 
-        rules = F.lit(0).cast("long")
+        rules = [F.lit(0).cast("long") for _ in range(0, len(self.queries), _RULE_BITS)] or [F.lit(0).cast("long")]
         for i, query in enumerate(self.queries):
             if query:
                 one = F.lit(False)
                 for alternative in query:
                     one = one | holds(alternative)
-                rules = rules.bitwiseOR(F.when(one, F.lit(1 << i)).otherwise(0).cast("long"))
-        return sets.select("key", rules.alias("rules")).where("rules <> 0")
+                at, bit = divmod(i, _RULE_BITS)
+                rules[at] = rules[at].bitwiseOR(F.when(one, F.lit(1 << bit)).otherwise(0).cast("long"))
+        return sets.select("key", F.array(*rules).alias("rules")).where(F.exists("rules", lambda r: r != 0))
 
 
 def _before(values: Column) -> Column:
@@ -221,7 +226,8 @@ def find_secrets(docs: DataFrame, *, text: str = "text", id_column: str = "doc_i
     def found(i: int, rule: Rule) -> Column:
         matches = F.regexp_extract_all(body, F.lit(rule.pattern), F.lit(0))
         if index.queries[i]:
-            return F.when(F.col(bits).bitwiseAND(F.lit(1 << i)) != 0, matches).otherwise(none)
+            at, bit = divmod(i, _RULE_BITS)
+            return F.when(F.get(bits, F.lit(at)).bitwiseAND(F.lit(1 << bit)) != 0, matches).otherwise(none)
         return F.coalesce(matches, none)
 
     scanned = joined.withColumns({n: found(i, r) for i, (n, r) in enumerate(zip(found_names, rules))})

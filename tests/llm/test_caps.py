@@ -1,12 +1,13 @@
 """Cases that a bound once kept out: wide gaps in notices, long documents in a mix, personal data in small tables."""
 
 import itertools
+import re
 import time
 
 import numpy as np
 import pytest
 
-from tabwright.llm import licenses, mix, pii
+from tabwright.llm import licenses, mix, pii, secrets
 from tests.llm.test_pipeline_operators import prose, table
 
 
@@ -72,3 +73,13 @@ def test_very_many_spans_in_one_text():
     assert time.perf_counter() - start < 3
     spans = sorted([(a, b) for a, _, _, b in out] + [(a, b) for a, _, _, b in base])
     assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:])) and len(out) > 10_000
+
+
+def test_more_rules_than_a_long_has_bits(spark):
+    rules = tuple(secrets.Rule(f"r{i}", rf"key{i:03d}=[0-9]+") for i in range(150))
+    rows = [(i, f"x key{i:03d}=12 y key{(i * 7) % 150:03d}=345 z", "", "", 0) for i in range(150)] + [(999, "none", "", "", 0), (1_000, None, "", "", 0)]
+    found, name = secrets.find_secrets(table(spark, rows), rules=rules)
+    texts = {r[0]: r[1] or "" for r in rows}
+    for r in found.collect():
+        want = {(rule.kind, m.start(), m.end()) for rule in rules for m in re.finditer(rule.pattern, texts[r.doc_id])}
+        assert {(x.kind, x.start, x["end"]) for x in r[name]} == want and (len(want) > 0) == (r.doc_id < 150)
