@@ -166,3 +166,39 @@ def test_awkward_tables(spark):
         fit_trees(table(spark, np.ones((2, 1)), [0, 0.5])).nodes.count()
     with pytest.raises(Exception, match="finite"):
         fit_trees(table(spark, np.array([[1.0], [np.inf]]), [0, 1])).nodes.count()
+
+
+def test_a_part_left_out_of_a_stored_table(spark):
+    x, y = rows_of(300, 9, values=40)
+    rows = table(spark, x, y).withColumn("fold", (F.col("id") % 3).cast("int"))
+    for params in (TreeParams(trees=3, per_split="sqrt", bagging=True, key="id"), TreeParams(trees=2, bagging=True, key="id", bins=8, piece=60)):
+        stored = trees.tree_table(rows, params, part="fold")
+        for fold in (0, 2):
+            want = fit_trees(rows.where(F.col("fold") != fold), params)
+            for t in range(params.trees):
+                same(by_path(stored.fit(left_out=fold), t), by_path(want, t))
+    with pytest.raises(ValueError, match="no rows"):
+        trees.tree_table(rows.where("fold = 1"), params, part="fold").fit(left_out=1)
+
+
+def test_tables_of_many_values_give_the_same_trees(spark, monkeypatch):
+    x, y = rows_of(300, 11, values=1_000)
+    params = TreeParams(trees=2, per_split="sqrt", bagging=True, key="id", piece=90)
+    found = [by_path(fit_trees(table(spark, x, y), params), t) for t in range(2)]
+    monkeypatch.setattr(trees, "_DICTIONARY", 50)  # stored as numbers
+    for t in range(2):
+        same(by_path(fit_trees(table(spark, x, y), params), t), found[t])
+
+
+def test_folds_of_trees_are_left_out_of_one_stored_table(spark, monkeypatch):
+    from tabwright.operators import learn
+
+    x, y = rows_of(200, 3)
+    rows = table(spark, x, y).withColumn("fold", (F.col("id") % 4).cast("int"))
+    params, calls = TreeParams(impurity="entropy", min_split=10), []
+    monkeypatch.setattr(learn, "tree_table", lambda *a, **k: calls.append(1) or trees.tree_table(*a, **k), raising=False)
+    found = learn.cross_validate(rows, "decision_tree", 4, settings=params).scores
+    for fold, score in enumerate(found):
+        judged = fit_trees(rows.where(F.col("fold") != fold), params).transform(rows.where(F.col("fold") == fold))
+        assert judged.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0] == score
+    assert calls == [1]
