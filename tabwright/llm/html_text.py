@@ -253,15 +253,15 @@ class _Table:
 
 @dataclass(frozen=True)
 class Layout:
-    """``widest``: a cell longer than this does not widen its column; None: every cell does. ``padding``: most blanks that a
-    table is padded with; one that would need more is set with columns of at most 60, so that a page stays in memory."""
+    """``widest``: a cell's text beyond so many characters does not widen its column; None: all of it does. ``padding``: most blanks
+    that a table is padded with; one that would need more is set with columns of at most 60; None: any number."""
 
-    widest: int | None = None
-    padding: int = 4_000_000
+    widest: int | None = 120
+    padding: int | None = None
 
 
 def aligned(rows: list[list[tuple[list[str], int, int]]], layout: Layout = Layout()) -> list[str]:
-    """Cells (lines, columns, rows) in a grid, lines padded to the width of their column, two blanks apart. A cell's lines stand
+    """Cells (lines, columns, rows) in a grid, lines padded to the width of their column, two blanks apart, however many rows follow. A cell's lines stand
     below each other from the top of its first row; its width counts for its first column; the places that it
     covers besides are empty. Rows without text give no line."""
     grid: list[dict[int, list[str]]] = []
@@ -287,7 +287,7 @@ def aligned(rows: list[list[tuple[list[str], int, int]]], layout: Layout = Layou
             widths[c] = max(widths.get(c, 0), *(min(len(x), layout.widest or len(x)) for x in lines), 0)
     columns = range(max(widths, default=-1) + 1)
     heights = [max((len(lines) for lines in line.values()), default=0) for line in grid]
-    if sum(widths.values()) * sum(heights) > layout.padding:
+    if layout.padding is not None and sum(widths.values()) * sum(heights) > layout.padding:
         widths = {c: min(w, 60) for c, w in widths.items()}
     out = []
     for line, height in zip(grid, heights):

@@ -73,6 +73,11 @@ def test_widest_and_padding():
     assert len(render("<table>" + f"<tr><td>{'w' * 200_000}<td>x" + "<tr><td>a<td>b" * 20_000 + "</table>")) < 3_000_000
 
 
+def test_columns_are_as_wide_in_long_tables():
+    rows = [[(["a" * 100], 1, 1), (["b"], 1, 1)]] + [[(["c"], 1, 1), (["d"], 1, 1)]] * 45_000
+    assert aligned(rows)[:2] == aligned(rows[:2]) and aligned(rows)[-1] == "c" + " " * 101 + "d"
+
+
 def plain_events(tags):
     """Names that open and close, by walks over the whole stack."""
     stack, out = [], []
