@@ -317,10 +317,51 @@ def candidate_links(distinct: DataFrame, settings: NearCopies) -> DataFrame:
     return grouped.mapInArrow(span, "a long, b long").distinct()
 
 
+def unjoined_links(nodes: DataFrame, between: DataFrame, roots: DataFrame, settings: NearCopies) -> DataFrame:
+    """All pairs (a, b) of nodes of different groups whose fingerprints differ in at most ``radius`` bits.
+
+    Only a fingerprint of ``between``, or one of several nodes, has such a pair, as each bucket gave a forest of its links. Of
+    these nodes only buckets with two groups or more are looked at, in groups of two blocks as by :func:`candidate_links`.
+    """
+    radius = settings.radius
+    near = between.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")).distinct()
+    named = settle(nodes.select("node", "fp").join(near, "fp").join(roots, "node", "left").select("node", "fp", F.coalesce("root", "node").alias("root")))
+    tables = named.select("node", "fp", "root", F.explode(F.array(*(
+        F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask))) for i, mask in enumerate(two_level_masks(radius, settings.parts))))).alias("key"))
+    shared = tables.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "n")
+    blocks = F.ceil(F.col("n") / settings.block)
+    mine = F.pmod(F.xxhash64("node", F.lit("block")), blocks)
+    grouped = (tables.join(shared, "key")
+               .select("key", "node", "fp", "root", mine.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"))
+               .groupBy("key", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
+               .agg(F.collect_list(F.struct("fp", "node", "root", "i")).alias("m"))
+               .select("m.fp", "m.node", "m.root", "m.i", (F.col("low") < F.col("high")).alias("two")))
+
+    def span(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets = batch.column(0).offsets.to_numpy()
+            parts = [batch.column(c).values.to_numpy() for c in range(4)]
+            for lo, hi, two in zip(offsets[:-1].tolist(), offsets[1:].tolist(), batch.column(4).to_pylist()):
+                fp, node, root, block = (p[lo:hi] for p in parts)
+                for at in range(0, len(fp), 256):
+                    some = slice(at, at + 256)
+                    apart = (root[some, None] != root) & (node[some, None] < node)
+                    if two:  # pairs of one block meet in its own group
+                        apart &= block[some, None] != block
+                    x, y = np.nonzero(apart & (np.bitwise_count((fp[some, None] ^ fp).view(np.uint64)) <= radius))
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([pa.array(node[at + x]), pa.array(node[y])], names=["a", "b"])
+
+    return grouped.mapInArrow(span, "a long, b long").distinct()
+
+
 def drop_near_copies(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", settings: NearCopies = NearCopies()) -> DataFrame:
     """One document of each group, the one with the least id (null ids last; of rows with one id, the one
     with the least text hash, and one of equal rows). Columns as they came.
 
+    Groups are joined by all links of similar texts whose word fingerprints differ in at most ``radius`` bits: a forest of the
+    shortest ones is verified first, then every pair that this left in two groups.
+
     Equal words are copies, whatever blanks and cases of A-Z are between them. Null and empty texts, and texts of blanks, are copies of
     each other. A text of fewer than five words is a shingle of its own.
     """
@@ -350,6 +391,9 @@ def drop_near_copies(docs: DataFrame, *, id_column: str = "doc_id", text: str =
         heads.select(F.col("fp").alias("b"), F.col("head").alias("head_b")), "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
     proposed = settle(inside.unionByName(across))
     verified = settle(_verified(keyed, key, digest, text, nodes, proposed, settings))
+    # what the first links did not join is held against all others within the radius
+    missed = settle(unjoined_links(nodes, between, connected(verified), settings))
+    verified = settle(verified.unionByName(_verified(keyed, key, digest, text, nodes, missed, settings)))
     roots = connected(verified)
     grouped = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     first = settle(grouped.groupBy("root").agg(F.min("least").alias("best")).select(

@@ -81,3 +81,28 @@ def test_nothing_and_one(spark):
     rows = [(1, "a b", "", "", 0), (1, "a b", "", "", 0), (None, "c", "", "", 0)]
     got = simhash.drop_near_copies(table(spark, rows))
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"] and sorted(str(r.doc_id) for r in got.collect()) == ["1", "None"]
+
+
+def test_no_link_within_the_radius_is_left_out(spark):
+    draw = np.random.default_rng(4)
+    text = prose(5, 120)
+    rows = list(dict.fromkeys(edited(text, int(draw.integers(1, 8)), draw) for _ in range(160)))
+    docs = table(spark, [(i, t, "", "", 0) for i, t in enumerate(rows)]).repartition(4)
+    sets = [simhash.shingle_set(t.encode().lower().split(), 5) for t in rows]
+    prints = [simhash.word_print(t.encode().lower().split()) & (1 << 64) - 1 for t in rows]
+    least = list(range(len(rows)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if (prints[i] ^ prints[j]).bit_count() <= 7 and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                least[b] = a
+    want = {i for i in range(len(rows)) if root(i) == i}
+    for settings in (simhash.NearCopies(), simhash.NearCopies(block=16)):
+        assert {r.doc_id for r in simhash.drop_near_copies(docs, settings=settings).collect()} == want
