@@ -18,7 +18,9 @@ their distinct words. So candidates come from word fingerprints within 7 bits, b
 of the bits one has at most half of the differing ones, and covering masks over that half find those. In each
 bucket the links of a minimum spanning forest are proposed, short ones first, and those of each fingerprint to
 its nearest others, not all pairs. Each proposed link is verified on the whole sets of shingle hashes of its two texts; the connected
-components of verified links are the groups.
+components of verified links are the groups. Pairs that these left in two groups become rows only if a bound on what their sets
+share allows a link: each set has a parity sketch, bit h of which says whether an odd number of its hashes is h modulo the number of
+bits, and two sets differ in at least as many hashes as their sketches differ in bits.
 """
 
 from __future__ import annotations
@@ -237,6 +239,56 @@ def shingle_set(words: list[bytes], width: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh32_intdigest(b" ".join(words[i: i + width]), 42) for i in range(len(words) - width + 1)), np.uint32))
 
 
+#: Bits of a sketch: four for a shingle, rounded up to a power of two, within these limits (as exponents).
+_LEAST_SKETCH, _MOST_SKETCH = 6, 13
+#: Pairs whose sketches are held against each other at once.
+_PAIRS = 16_384
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity of the hashes that fall on each bit, as bytes. The upper half exclusive-or the lower one is the sketch of half the size."""
+    k = min(_MOST_SKETCH, max(_LEAST_SKETCH, (4 * len(hashes) - 1).bit_length()))
+    counts = np.bincount(hashes & np.uint32((1 << k) - 1), minlength=1 << k)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little")
+
+
+def difference(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, sketches: list[bytes], least: float) -> np.ndarray:
+    """For pairs (x, y) of sets the bits that their sketches differ in, as a share of the most hashes that sets may differ in which
+    agree to ``least``: (1 - least) / (1 + least) of the sum of their sizes. Above 1, and infinite by the sizes alone, there is no link."""
+    small, large = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
+    out = np.where(small >= least * large, 0.0, np.inf)
+    wide = np.array([len(b) for b in sketches])
+    level = np.minimum(wide[x], wide[y])
+    for w in np.unique(level[out == 0]):
+        pairs = np.flatnonzero((out == 0) & (level == w))
+        held, place = np.unique(np.concatenate([x[pairs], y[pairs]]), return_inverse=True)
+        folded = np.array([np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint64).reshape(-1, w // 8), axis=0) for i in held])
+        left, right = place[:len(pairs)], place[len(pairs):]
+        for at in range(0, len(pairs), _PAIRS):
+            some = slice(at, at + _PAIRS)
+            apart = np.bitwise_count(folded[left[some]] ^ folded[right[some]]).sum(1, dtype=np.int64)
+            out[pairs[some]] = apart / ((1 - least) / (1 + least) * (small + large)[pairs[some]] + 1e-6)
+    return out
+
+
+def joining(x: np.ndarray, y: np.ndarray, rank: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Places of the pairs (x, y) that make a spanning forest of the parts, lowest ranks first; ``part`` then names the trees."""
+    chosen = []
+    live = np.argsort(rank, kind="stable")
+    while True:
+        p, q = part[x[live]], part[y[live]]
+        live, p, q = live[p != q], p[p != q], q[p != q]
+        if not len(live):
+            return np.array(chosen, np.int64)
+        best = np.full(int(part.max()) + 1, len(live))
+        for side in (p, q):
+            np.minimum.at(best, side, np.arange(len(live)))
+        for i in np.unique(best[best < len(live)]).tolist():  # the best one of each tree; as ranks are in order there is no ring
+            chosen.append(live[i])
+            one, other = part[x[live[i]]], part[y[live[i]]]
+            part[part == other] = one
+
+
 def two_level_masks(radius: int, parts: int) -> list[int]:
     """Masks; any two numbers of 64 bits that differ in at most ``radius`` agree under one. A part that holds at most
     ``radius // parts`` differing bits exists, and its masks cover so many as in :mod:`tabwright.llm.simhash`."""
@@ -317,40 +369,61 @@ def candidate_links(distinct: DataFrame, settings: NearCopies) -> DataFrame:
     return grouped.mapInArrow(span, "a long, b long").distinct()
 
 
-def unjoined_links(nodes: DataFrame, between: DataFrame, roots: DataFrame, settings: NearCopies) -> DataFrame:
-    """All pairs (a, b) of nodes of different groups whose fingerprints differ in at most ``radius`` bits.
+def unjoined_links(nodes: DataFrame, between: DataFrame, roots: DataFrame, sets: DataFrame, settings: NearCopies, *, few: bool = False) -> DataFrame:
+    """All pairs (a, b) of nodes of different groups whose fingerprints differ in at most ``radius`` bits and whose sketches allow
+    a link.
 
-    Only a fingerprint of ``between``, or one of several nodes, has such a pair, as each bucket gave a forest of its links. Of
-    these nodes only buckets with two groups or more are looked at, in groups of two blocks as by :func:`candidate_links`.
+    Only a fingerprint of ``between``, or one of several nodes, has such a pair, as each bucket gave a forest of its links; ``sets``
+    holds them. Of these nodes only buckets with two groups or more are looked at, in groups of two blocks as by
+    :func:`candidate_links`. A pair is given by the first bucket it meets in. ``few``: of each such group only pairs that make a spanning
+    forest of its parts, those first whose sketches differ least; none at all only if there is no pair.
     """
-    radius = settings.radius
+    radius, least = settings.radius, settings.similarity
     near = between.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")).distinct()
-    named = settle(nodes.select("node", "fp").join(near, "fp").join(roots, "node", "left").select("node", "fp", F.coalesce("root", "node").alias("root")))
-    tables = named.select("node", "fp", "root", F.explode(F.array(*(
-        F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask))) for i, mask in enumerate(two_level_masks(radius, settings.parts))))).alias("key"))
-    shared = tables.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key", "n")
+    named = settle(nodes.select("node", "fp").join(near, "fp").join(roots, "node", "left").join(sets.select("node", "size", "sketch"), "node").select(
+        "node", "fp", F.coalesce("root", "node").alias("root"), "size", "sketch"))
+    masks = two_level_masks(radius, settings.parts)
+    tables = named.select("node", "fp", "root", "size", "sketch", F.explode(F.array(*(
+        F.struct(F.lit(i).alias("mask"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask))).alias("key")) for i, mask in enumerate(masks)))).alias("at")).select(
+        "node", "fp", "root", "size", "sketch", "at.mask", "at.key")
+    shared = tables.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("mask", "key", "n")
     blocks = F.ceil(F.col("n") / settings.block)
     mine = F.pmod(F.xxhash64("node", F.lit("block")), blocks)
-    grouped = (tables.join(shared, "key")
-               .select("key", "node", "fp", "root", mine.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"))
-               .groupBy("key", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
-               .agg(F.collect_list(F.struct("fp", "node", "root", "i")).alias("m"))
-               .select("m.fp", "m.node", "m.root", "m.i", (F.col("low") < F.col("high")).alias("two")))
+    grouped = (tables.join(shared, ["mask", "key"])
+               .select("mask", "key", "node", "fp", "root", "size", "sketch", mine.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"))
+               .groupBy("mask", "key", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
+               .agg(F.collect_list(F.struct("fp", "node", "root", "i", "size", "sketch")).alias("m"))
+               .select("m.fp", "m.node", "m.root", "m.i", "m.size", "m.sketch", "mask", (F.col("low") < F.col("high")).alias("two")))
 
     def span(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets = batch.column(0).offsets.to_numpy()
-            parts = [batch.column(c).values.to_numpy() for c in range(4)]
-            for lo, hi, two in zip(offsets[:-1].tolist(), offsets[1:].tolist(), batch.column(4).to_pylist()):
-                fp, node, root, block = (p[lo:hi] for p in parts)
+            parts = [batch.column(c).values.to_numpy() for c in range(5)]
+            sketches = batch.column(5).values
+            for lo, hi, mask, two in zip(offsets[:-1].tolist(), offsets[1:].tolist(), batch.column(6).to_pylist(), batch.column(7).to_pylist()):
+                fp, node, root, block, size = (p[lo:hi] for p in parts)
+                held = sketches[lo:hi].to_pylist()
+                part = np.unique(root, return_inverse=True)[1]
                 for at in range(0, len(fp), 256):
                     some = slice(at, at + 256)
                     apart = (root[some, None] != root) & (node[some, None] < node)
                     if two:  # pairs of one block meet in its own group
                         apart &= block[some, None] != block
                     x, y = np.nonzero(apart & (np.bitwise_count((fp[some, None] ^ fp).view(np.uint64)) <= radius))
+                    x += at
+                    for earlier in masks[:mask]:
+                        new = ((fp[x] ^ fp[y]) & np.int64(earlier)) != 0
+                        x, y = x[new], y[new]
+                    if few:
+                        new = part[x] != part[y]
+                        x, y = x[new], y[new]
                     if len(x):
-                        yield pa.RecordBatch.from_arrays([pa.array(node[at + x]), pa.array(node[y])], names=["a", "b"])
+                        share = difference(x, y, size, held, least)
+                        ok = np.flatnonzero(share <= 1)
+                        if few:
+                            ok = ok[joining(x[ok], y[ok], share[ok], part)]
+                        x, y = x[ok], y[ok]
+                        yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
 
     return grouped.mapInArrow(span, "a long, b long").distinct()
 
@@ -360,7 +433,7 @@ def drop_near_copies(docs: DataFrame, *, id_column: str = "doc_id", text: str =
     with the least text hash, and one of equal rows). Columns as they came.
 
     Groups are joined by all links of similar texts whose word fingerprints differ in at most ``radius`` bits: a forest of the
-    shortest ones is verified first, then every pair that this left in two groups.
+    shortest ones is verified first, then every pair that this left in two groups, but for those that the sets' sketches exclude.
 
     Equal words are copies, whatever blanks and cases of A-Z are between them. Null and empty texts, and texts of blanks, are copies of
     each other. A text of fewer than five words is a shingle of its own.
@@ -390,11 +463,16 @@ def drop_near_copies(docs: DataFrame, *, id_column: str = "doc_id", text: str =
     across = between.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("head_a")), "a").join(
         heads.select(F.col("fp").alias("b"), F.col("head").alias("head_b")), "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
     proposed = settle(inside.unionByName(across))
-    verified = settle(_verified(keyed, key, digest, text, nodes, proposed, settings))
-    # what the first links did not join is held against all others within the radius
-    missed = settle(unjoined_links(nodes, between, connected(verified), settings))
-    verified = settle(verified.unionByName(_verified(keyed, key, digest, text, nodes, missed, settings)))
+    sets = _sets(keyed, key, digest, text, nodes, proposed, settings)
+    verified = settle(_verified(sets, proposed, settings))
+    # what the first links did not join is held against all others within the radius: first a few links, which join most, then all
     roots = connected(verified)
+    for few in (True, False):
+        missed = settle(unjoined_links(nodes, between, roots, sets, settings, few=few))
+        if missed.isEmpty():
+            break
+        verified = settle(verified.unionByName(_verified(sets, missed, settings)))
+        roots = connected(verified)
     grouped = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     first = settle(grouped.groupBy("root").agg(F.min("least").alias("best")).select(
         F.coalesce(F.col("best.id").cast("string"), F.lit("")).alias("k"), F.col("best.h").alias("h")).distinct())
@@ -402,20 +480,26 @@ def drop_near_copies(docs: DataFrame, *, id_column: str = "doc_id", text: str =
     return kept.dropDuplicates([key, digest]).select(*docs.columns)
 
 
-def _verified(keyed: DataFrame, key: str, digest: str, text: str, nodes: DataFrame, proposed: DataFrame, settings: NearCopies) -> DataFrame:
-    """The proposed links whose texts' shingle sets are similar enough. One row of each text that has a link gives its set."""
+def _sets(keyed: DataFrame, key: str, digest: str, text: str, nodes: DataFrame, proposed: DataFrame, settings: NearCopies) -> DataFrame:
+    """Of each node that has a link its shingle set, the size of that and its sketch, stored. One row of its text gives them."""
     linked = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = nodes.join(linked, "node", "left_semi").select("node", F.col("one.k").alias("k"), F.col("one.h").alias("h"))
-    width, least = settings.shingle, settings.similarity
+    width = settings.shingle
 
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set((t or b"").lower().split(), width).tobytes() for t in byte_texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
+            sets = [shingle_set((t or b"").lower().split(), width) for t in byte_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64()),
+                                              pa.array([sketch(x).tobytes() for x in sets], pa.binary())], names=["node", "set", "size", "sketch"])
 
     found = keyed.select(F.col(key).alias("__k"), F.col(digest).alias("__h"), F.col(text).alias("__text")).join(
         wanted, (F.col("__k") == F.col("k")) & (F.col("__h") == F.col("h"))).dropDuplicates(["node"]).select("node", "__text")
-    sets = settle(found.mapInArrow(shingles, "node long, set binary"))
+    return settle(found.mapInArrow(shingles, "node long, set binary, size long, sketch binary"))
+
+
+def _verified(sets: DataFrame, proposed: DataFrame, settings: NearCopies) -> DataFrame:
+    """The proposed links whose texts' shingle sets are similar enough."""
+    least = settings.similarity
 
     def similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

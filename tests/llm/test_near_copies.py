@@ -106,3 +106,39 @@ def test_no_link_within_the_radius_is_left_out(spark):
     want = {i for i in range(len(rows)) if root(i) == i}
     for settings in (simhash.NearCopies(), simhash.NearCopies(block=16)):
         assert {r.doc_id for r in simhash.drop_near_copies(docs, settings=settings).collect()} == want
+
+
+def test_rows_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    text = prose(5, 120)
+    held = []
+
+    def counted(*args, check=simhash._verified):
+        held.append(args[-2].count())
+        return check(*args)
+
+    monkeypatch.setattr(simhash, "_verified", counted)
+    # one group within the radius of each other, of which few are similar enough, and one of which most are
+    for edits in (8, 5):
+        rows = list(dict.fromkeys(edited(text, edits, draw) for _ in range(400)))
+        held.clear()
+        simhash.drop_near_copies(table(spark, [(i, t, "", "", 0) for i, t in enumerate(rows)]).repartition(4)).count()
+        assert sum(held[1:]) <= 4 * len(rows), held
+
+
+def test_sketches_exclude_no_link():
+    draw = np.random.default_rng(2)
+    sets, found = [], 0
+    for _ in range(300):
+        n = int(draw.integers(1, 4_000))
+        one = np.unique(draw.integers(0, 1 << 32, n, dtype=np.uint32))
+        keep = one[draw.random(len(one)) < draw.choice([0.7, 0.8, 0.9, 0.95, 1.0])]
+        sets += [one, np.unique(np.append(keep, draw.integers(0, 1 << 32, int(0.1 * draw.random() * n), dtype=np.uint32)))]
+    x, y = np.arange(0, 600, 2), np.arange(1, 600, 2)
+    share = simhash.difference(x, y, np.array([len(s) for s in sets]), [simhash.sketch(s).tobytes() for s in sets], 0.8)
+    for i, j, s in zip(x, y, share):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+            found += 1
+            assert s <= 1
+    assert found > 100 and (share > 1).sum() > 20
