@@ -13,30 +13,32 @@ gets the lowest threshold that reaches the wanted precision there, or none at al
 not count for that, as they are never scored. Made-up texts of every form are learned from besides, so that a small table,
 or one with few examples of a form, does not leave that form out.
 
-Fitting runs the generators over all documents twice: to count the examples of each generator and
-class, and to take a seeded sample of each, all where there are few. Thresholds weigh the sample back
-to the counts. Scanning is one narrow pass over whole texts.
+Fitting runs the generators over all documents once and fits on every example: equal ones are one row with their
+number, and the trees need sums over these rows only. So that no generator or class outweighs the others, each has a
+bounded weight in the fit; thresholds go by plain numbers of examples. Scanning is one narrow pass over whole texts.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import re
 import zlib
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD, StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.llm.boost import Boosted, calibrate, fit_boosted
-from tabwright.llm.linear import seeded
+from tabwright.llm.boost import Boosted, binned, calibrate_by_sums, fit_binned, total_of
 from tabwright.llm.words import fresh
+from tabwright.operators.cumulate import bucket_edges, running_totals
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -61,8 +63,8 @@ _CUES = ("mail", "phone", "tel", "call", "fax", "mobil", "card", "visa", "iban",
 
 @dataclass(frozen=True)
 class Pii:
-    """``most_rows``: about as many examples are fitted on and held out, in equal parts for each generator and
-    class of examples. ``generated``: texts of each sort that are made up and learned from besides, so that few found ones
+    """``most_rows``: the examples of all documents weigh at most as much as so many rows in the fit, in equal parts for each
+    generator and class of examples; all are fitted on or held out. ``generated``: texts of each sort that are made up and learned from besides, so that few found ones
     do not leave a form unlearned. ``precision``: wanted of each generator on held-out candidates."""
 
     most_rows: int = 40_000
@@ -196,6 +198,8 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
 FAILED, BASE, WIDER = range(3)
 #: Characters around a rewritten span that are looked at, and the forms that a base span is rewritten into.
 _AROUND, _FORMS = 64, 3
+#: Distinct examples that a task sums at least.
+_PART_ROWS = 50_000
 
 
 def _examples(text: str) -> list[tuple[str, tuple[int, int, int], int, int]]:
@@ -278,62 +282,103 @@ def _dealt(data: bytes) -> float:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "big") / 2 ** 64
 
 
-def fit_judge(docs: DataFrame, settings: Pii = Pii(), *, text: str = "text", id_column: str = "doc_id") -> Judge:
-    """Trees and thresholds from seeded samples of the examples of all documents and from made-up ones. Equal texts are on one
-    side of the split."""
-    some = docs.select(text, seeded(F.col(id_column), settings.seed).alias("r"))
+def _described(text: str, fit: bool, seed: bytes) -> Iterator[tuple[bytes, int, int, bool]]:
+    """Features, class, generator and side of the examples of a text. In half of those fitted on, what the rules decide by is hidden."""
+    for i, (around, c, k, g) in enumerate(_examples(text)):
+        x = np.array(features(around, c), np.float32)
+        if fit and _dealt(seed + i.to_bytes(8, "big")) < 0.5:
+            x[-len(RULED):] = -1.0
+        yield x.tobytes(), k, g, fit
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter[tuple[int, int]] = Counter()
+
+def _rows_of(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("x").to_pylist()), np.float32).reshape(batch.num_rows, -1)
+
+
+def _edges(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
+    """Values of each feature to cut at: all but the last where there are at most ``bins``, else quantiles by weight."""
+    def values(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                n.update((k, g) for _, _, k, g in _examples(t or ""))
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in n], pa.int32()) for i in (0, 1)] + [pa.array(list(n.values()), pa.int64())], names=["k", "g", "n"])
+            x, w = _rows_of(batch), np.rint(batch.column("w").to_numpy() * 2 ** 20)
+            found = [np.unique(x[:, f], return_inverse=True) for f in range(x.shape[1])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.arange(len(found)), [len(v) for v, _ in found]), pa.int32()), pa.array(np.concatenate([v for v, _ in found]), pa.float64()),
+                 pa.array(np.concatenate([np.bincount(at, w, len(v)) for v, at in found]).astype(np.int64))], names=["f", "v", "w"])
+
+    by = Window.partitionBy("f")
+    so_far, everything = F.sum("w").over(by.orderBy("v")), F.sum("w").over(by)
+    found = rows.mapInArrow(values, "f int, v double, w long").groupBy("f", "v").agg(F.sum("w").alias("w")).select(
+        "f", "v", F.count("v").over(by).alias("n"), F.max("v").over(by).alias("last"),
+        F.floor(bins * so_far / everything).alias("after"), F.floor(bins * (so_far - F.col("w")) / everything).alias("before"))
+    kept = found.where((F.col("v") < F.col("last")) & ((F.col("n") <= bins) | (F.col("after") > F.col("before")))).collect()
+    return [np.sort(np.array([r["v"] for r in kept if r["f"] == f], float)) for f in range(width)]
+
+
+def _thresholds(scored: DataFrame, model: Boosted, settings: Pii) -> np.ndarray:
+    """The lowest of each generator that reaches the precision, by the counts of all held-out examples at and above each margin."""
+    held = scored.where(F.col("k") != BASE).groupBy("g", "m").agg(
+        F.sum("n").cast("double").alias("n"), F.sum(F.when(F.col("k") == FAILED, 0).otherwise(F.col("n"))).cast("double").alias("hits")).withColumn("at", F.col("m"))
+    summed = running_totals(held, "m", ["n", "hits", "at"], bucket_edges(held, "m"), ["g"])
+    good = summed.where((F.col("cum_hits") >= settings.precision * F.col("cum_n")) & (F.col("cum_hits") >= settings.least_examples))
+    thresholds = np.full(len(GENERATORS), np.inf)
+    for r in good.groupBy("g").agg(F.min("m").alias("m"), F.min_by("next_at", "m").alias("below")).collect():
+        at = model.calibrated(np.array([r["m"], -np.inf if r["below"] is None else r["below"]]))
+        below = 0.0 if r["below"] is None else at[1]
+        thresholds[r["g"]] = max(0.5, float(at[0] + below) / 2)  # between the last margin taken and the next one
+    return thresholds
 
-    sizes = {(r.k, r.g): r.n for r in some.mapInArrow(count, "k int, g int, n long").groupBy("k", "g").agg(F.sum("n").alias("n")).collect()}
-    each = settings.most_rows / (len((FAILED, BASE, WIDER)) * len(GENERATORS))
-    rates = {at: min(1.0, each / n) for at, n in sizes.items()}
-    seed = settings.seed
+
+def fit_judge(docs: DataFrame, settings: Pii = Pii(), *, text: str = "text") -> Judge:
+    """Trees and thresholds from the examples of all documents and from made-up ones. Equal texts are on one side of the split."""
+    seed, width, bins = settings.seed, len(features(" ", (0, 1, 0))), 32
 
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for t, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for i, (around, c, k, g) in enumerate(_examples(t or "")):
-                    own = _dealt(f"{seed}:{r!r}:{i}".encode())
-                    if own < rates[k, g]:
-                        side = _dealt(f"{seed}:{t}".encode("utf-8", "replace"))
-                        rows.append((np.array(features(around, c), np.float32).tobytes(), k, g, side < 0.5, own))
-            kinds = (pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["x", "k", "g", "fit", "r"])
-
-    # equal rows have equal numbers, so a class can be larger than its part
-    data = some.mapInArrow(gather, "x binary, k int, g int, fit boolean, r double").orderBy("r", "x", "k", "g", "fit").limit(2 * settings.most_rows).toPandas()
-    width = len(features(" ", (0, 1, 0)))
-    x = np.array([np.frombuffer(b, np.float32) for b in data["x"]], float).reshape(len(data), width)
-    kind, g, fit = data["k"].to_numpy(int), data["g"].to_numpy(int), data["fit"].to_numpy(bool)
-    taken = Counter(zip(kind.tolist(), g.tolist()))
-    weight = np.array([sizes[at] / taken[at] for at in zip(kind.tolist(), g.tolist())])
-    more = [(features(around, c), k, i, n % 2 == 0) for n, t in enumerate(made_up(settings.generated, settings.seed)) for around, c, k, i in _examples(t)]
-    x = np.vstack([x, np.array([m[0] for m in more]).reshape(len(more), width)])
-    kind, g, fit = (np.append(old, [m[i] for m in more]).astype(old.dtype) for i, old in ((1, kind), (2, g), (3, fit)))
-    weight = np.append(weight, np.ones(len(more)))
-    y = (kind != FAILED).astype(float)
-    masked = x[fit].copy()
-    masked[::2, -len(RULED):] = -1.0
-    model = fit_boosted(masked, y[fit])
-    calibrate(model, x[~fit], y[~fit])
-    p = model.probability(x[~fit])
-    thresholds = np.full(len(GENERATORS), np.inf)
-    for i in range(len(GENERATORS)):
-        mine = np.flatnonzero((g[~fit] == i) & (kind[~fit] != BASE))
-        order = mine[np.argsort(-p[mine], kind="stable")]
-        hits, w = y[~fit][order], weight[~fit][order]
-        precision = np.cumsum(hits * w) / np.cumsum(w)
-        good = np.flatnonzero((precision >= settings.precision) & (np.cumsum(hits) >= settings.least_examples))
-        if len(good):
-            below = p[order][good[-1] + 1] if good[-1] + 1 < len(order) else 0.0
-            thresholds[i] = max(0.5, float(p[order][good[-1]] + below) / 2)  # between the last example taken and the next one
+            n: Counter[tuple[bytes, int, int, bool]] = Counter()
+            for t in batch.column(0).to_pylist():
+                own = hashlib.blake2b(f"{seed}:{t}".encode("utf-8", "replace"), digest_size=16).digest()
+                n.update(_described(t or "", _dealt(own) < 0.5, own))
+            yield pa.RecordBatch.from_arrays([*(pa.array([x[i] for x in n], k) for i, k in enumerate((pa.binary(), pa.int32(), pa.int32(), pa.bool_()))),
+                                              pa.array(list(n.values()), pa.int64())], names=["x", "k", "g", "fit", "n"])
+
+    made = Counter(d for i, t in enumerate(made_up(settings.generated, seed)) for d in _described(t, i % 2 == 0, f"{seed}:{i}".encode()))
+    found = docs.select(text).mapInArrow(gather, "x binary, k int, g int, fit boolean, n long").withColumn("made", F.lit(False))
+    invented = docs.sparkSession.createDataFrame([(*d, n, True) for d, n in made.items()], found.schema)
+    # equal examples are one row with their number
+    examples = found.unionByName(invented).groupBy("x", "k", "g", "fit", "made").agg(F.sum("n").alias("n")).persist()
+    facts = examples.groupBy("k", "g", "made").agg(F.sum("n").alias("n"), F.count_if("fit").alias("fit"), F.count_if(~F.col("fit")).alias("held")).collect()
+    each = settings.most_rows / (len((FAILED, BASE, WIDER)) * len(GENERATORS))
+    rates = {(r["k"], r["g"]): min(1.0, each / r["n"]) for r in facts if not r["made"]}
+    share = F.lit(1.0)
+    for (k, g), rate in rates.items():
+        share = F.when(~F.col("made") & (F.col("k") == k) & (F.col("g") == g), rate).otherwise(share)
+    examples_weighed = examples.withColumn("w", F.col("n") * share)
+
+    def blocks(rows: DataFrame, n: int, row: Callable[[pa.RecordBatch], np.ndarray]) -> RDD:
+        """Blocks of what a function gives for rows, with classes and weights, held for many passes."""
+        def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                y, x = (batch.column("k").to_numpy() != FAILED).astype(np.uint8), pickle.dumps(row(batch))
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in (x, y.tobytes(), batch.column("w").to_numpy().tobytes())], names=["x", "y", "w"])
+
+        packed = rows.coalesce(max(1, -(-n // _PART_ROWS))).mapInArrow(pack, "x binary, y binary, w binary")
+        return packed.rdd.map(lambda r: (pickle.loads(r.x), np.frombuffer(r.y, np.uint8).astype(float), np.frombuffer(r.w, float))).persist(StorageLevel.MEMORY_AND_DISK)
+
+    fitted = examples_weighed.where("fit")
+    edges = _edges(fitted, width, bins)
+    shown = blocks(fitted, sum(r["fit"] for r in facts), lambda batch: binned(_rows_of(batch), edges))
+    model = fit_binned(total_of(shown), edges, bins=bins)
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("g", "k", "n", "w")), pa.array(model.margin(_rows_of(batch)))], names=["g", "k", "n", "w", "m"])
+
+    scored = examples_weighed.where("NOT fit").mapInArrow(score, "g int, k int, n long, w double, m double").persist()
+    margins = blocks(scored, sum(r["held"] for r in facts), lambda batch: batch.column("m").to_numpy())
+    calibrate_by_sums(model, total_of(margins))
+    thresholds = _thresholds(scored, model, settings)
+    for held in (examples, scored, shown, margins):
+        held.unpersist()
     return Judge(model, thresholds)
 
 
