@@ -1,29 +1,32 @@
 """Quality classifier with hierarchical empirical Bayes over hosts and paths.
 
-A logistic classifier on shape features of the text, fitted on a bounded sample of labelled
-documents, gives each document its evidence p. Grouped aggregation sums p by path (within
+A logistic classifier on shape features of the text, fitted on half of all labelled documents by
+sums over them, gives each document its evidence p. Grouped aggregation sums p by path (within
 host) and by host. Posteriors of the sites shrink towards the level above: a host towards the
 global mean, a path towards its host, each with a strength estimated from the spread between the
 sites (method of moments), so sparse sites stay near the prior. A document's score joins its
 own evidence with the shift of its path's posterior from the global mean, in log odds; the
 document itself is left out of its sites' sums, so evidence is not counted twice. The cut is
-chosen on that score, of held-out labelled documents with their sites, from both classes' errors.
+chosen on that score, of the other half of the labelled documents with their sites, from both classes' errors.
 
-Sites are grouped rows of three numbers; texts are never shuffled.
+Sites are grouped rows of three numbers. Where the labelled documents are those to be judged, their shapes are computed once and
+texts are never shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm.linear import bounded_sample, fit_logistic, predict, seeded
+from tabwright.llm.linear import added_up, bounded_sample, fit_logistic_by_sums, predict, seeded
 from tabwright.llm.words import fresh
+from tabwright.operators.cumulate import bucket_edges, running_totals
 from tabwright.session import settle
 
 _CLASS = np.zeros(256, np.uint8)  # 1 lower or beyond ASCII, 2 capital, 3 digit, 4 space, 5 line break, 6 other
@@ -42,12 +45,9 @@ FEATURES = (
 
 @dataclass(frozen=True)
 class Quality:
-    """``sample``: most labelled documents that the classifier is fitted on; the threshold is read
-    off about as many others. ``keep_share``: share of good labelled documents that the threshold
-    lets pass, unless a higher one rejects, for each share of them that it loses, ``good_weight`` times that
+    """``keep_share``: share of good held-out documents that the threshold lets pass, unless a higher one rejects, for each share of them that it loses, ``good_weight`` times that
     share of the bad ones: then labels of the good class are wrong. ``site_weight``: weight of the site's shift in log odds."""
 
-    sample: int = 20_000
     keep_share: float = 0.999
     good_weight: float = 20.0
     top_threshold: float = 0.5
@@ -96,66 +96,112 @@ class Classifier:
     def scores(self, x: np.ndarray) -> np.ndarray:
         return predict((_expanded(x) - self.mean) / self.scale, self.weights) if len(x) else np.zeros(0)
 
-    def column(self, text: Column) -> Column:
-        """The evidence as a column, computed over Arrow batches."""
+    def column(self, shapes: Column) -> Column:
+        """The evidence as a column, from that of :func:`shapes`."""
         model = self
 
         @F.pandas_udf("double")
-        def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for batch in texts:
-                x = np.array([shape(t) for t in batch], float).reshape(len(batch), len(FEATURES))
-                yield pd.Series(model.scores(x))
+        def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                yield pd.Series(model.scores(_features(batch)), dtype=float)
 
-        return evidence(text)
+        return evidence(shapes)
+
+
+def shapes(text: Column) -> Column:
+    """The features of each text as bytes, computed over Arrow batches."""
+    @F.pandas_udf("binary")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.array(shape(t), float).tobytes() for t in texts], dtype=object)
+
+    return found(text)
+
+
+def _features(found: Iterable[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(found)).reshape(-1, len(FEATURES))
+
+
+def labels_of(labels: DataFrame, label: str) -> DataFrame:
+    """doc_id and y of the documents with a label of 0 or 1; those with contradicting labels are left out."""
+    return labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min(label).alias("y"), F.max(label).alias("top")).where("y = top").select("doc_id", "y")
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: int, *more: Column) -> DataFrame:
     """About ``most`` documents with a label of 0 or 1, chosen by a seeded hash of the id: doc_id,
     text, y and ``more``. Documents with contradicting labels are left out; copies of a row count once."""
-    wanted = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min(label).alias("y"), F.max(label).alias("top")).where("y = top").select("doc_id", "y")
-    chosen = bounded_sample(wanted, "doc_id", most, seed).select(F.col("doc_id").alias("__id"), "y")
-    rows = docs.select("doc_id", "text", *more).join(chosen, F.col("doc_id") == F.col("__id")).drop("__id")
-    return rows.dropDuplicates(["doc_id"])
+    return _with_labels(docs.select("doc_id", "text", *more), bounded_sample(labels_of(labels, label), "doc_id", most, seed))
+
+
+def _with_labels(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The documents that the labels name, with y; copies of a row count once."""
+    return docs.join(chosen.select(F.col("doc_id").alias("__id"), "y"), F.col("doc_id") == F.col("__id")).drop("__id").dropDuplicates(["doc_id"])
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, settings: Quality = Quality(), *, host: str = "source",
-                   path: str = "lang") -> tuple[Classifier, pd.DataFrame]:
-    """The classifier, and its held-out evidence: rows (y, p, host, path). Without labels of both classes every
-    document gets the evidence 1 and nothing is held out."""
-
-    @F.pandas_udf("array<float>")
-    def features(texts: pd.Series) -> pd.Series:
-        return pd.Series([shape(t) for t in texts])
-
-    sites = F.col(host).cast("string").alias("__host"), F.col(path).cast("string").alias("__path")
-    rows = labelled_rows(docs, labels, "quality", 2 * settings.sample, settings.seed, *sites).select(
-        "y", "__host", "__path", (seeded(F.col("doc_id"), settings.seed + 1) < 0.5).alias("fit"), features("text").alias("x")).toPandas()
-    x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
-    y, fit = rows["y"].to_numpy(float), rows["fit"].to_numpy(bool)
-    if len(set(y[fit])) < 2:
-        width = 2 * len(FEATURES)
-        return Classifier(np.zeros(width), np.ones(width), np.array([0.0] * width + [35.0])), pd.DataFrame({"y": [], "p": [], "host": [], "path": []})
-    wide = _expanded(x[fit])
-    mean, scale = wide.mean(0), wide.std(0) + 1e-6
-    model = Classifier(mean, scale, fit_logistic((wide - mean) / scale, y[fit]))
-    return model, pd.DataFrame({"y": y[~fit], "p": model.scores(x[~fit]), "host": rows["__host"].to_numpy(object)[~fit],
-                                "path": rows["__path"].to_numpy(object)[~fit]})
-
-
-def threshold(held_out: pd.DataFrame, settings: Quality = Quality()) -> float:
+                   path: str = "lang", shaped: str | None = None) -> tuple[Classifier, DataFrame]:
+    """The classifier, fitted on one half of all labelled documents, and its evidence for the other half: rows (y, p, host, path).
+    Without labels of both classes every document gets the evidence 1 and nothing is held out.
+
+    ``shaped``: a column that holds the documents' :func:`shapes`; without it those of the labelled ones are computed."""
+    known = docs.select("doc_id", F.col(host).cast("string").alias("__host"), F.col(path).cast("string").alias("__path"),
+                        F.col(shaped or "text").alias("__of"))
+    found = _with_labels(known, labels_of(labels, "quality")).withColumn("x", F.col("__of") if shaped else shapes(F.col("__of")))
+    rows = settle(found.select("doc_id", F.col("y").cast("double").alias("y"), F.col("__host").alias("host"), F.col("__path").alias("path"),
+                               (seeded(F.col("doc_id"), settings.seed + 1) < 0.5).alias("fit"), "x").sortWithinPartitions("doc_id"))
+    fitted = rows.where("fit").select("x", "y")
+    width = 2 * len(FEATURES)
+
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Single-precision features, widened, and classes."""
+        for batch in batches:
+            yield _expanded(_features(batch.column(0).to_pylist()).astype(np.float32).astype(float)), batch.column(1).to_numpy()
+
+    counted = added_up(fitted, blocks, lambda some: sum((np.concatenate([[len(y), y.sum()], x.sum(0)]) for x, y in some), np.zeros(2 + width)))
+    if not 0 < counted[1] < counted[0]:
+        return Classifier(np.zeros(width), np.ones(width), np.array([0.0] * width + [35.0])), rows.where("false").select(
+            "y", F.lit(0.0).alias("p"), "host", "path")
+    mean = counted[2:] / counted[0]
+    scale = np.sqrt(added_up(fitted, blocks, lambda some: sum((((x - mean) ** 2).sum(0) for x, _ in some), np.zeros(width))) / counted[0]) + 1e-6
+    weights = fit_logistic_by_sums(fitted, lambda batches: (((x - mean) / scale, y) for x, y in blocks(batches)), width, counted[1] / counted[0])
+    model = Classifier(mean, scale, weights)
+
+    def judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _features(batch.column(0).to_pylist()).astype(np.float32).astype(float)
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(model.scores(x), pa.float64()), batch.column(2), batch.column(3)],
+                                             names=["y", "p", "host", "path"])
+
+    return model, rows.where("NOT fit").select("x", "y", "host", "path").mapInArrow(judged, "y double, p double, host string, path string")
+
+
+def threshold(held_out: DataFrame | pd.DataFrame, settings: Quality = Quality()) -> float:
     """From held-out rows (y, score): the largest score, at most ``top_threshold``, that ``keep_share`` of the
-    good documents reach, or the one above it where lost good and kept bad documents cost least."""
-    good, bad = (np.sort(held_out["score"][held_out["y"] == v].to_numpy(float)) for v in (1, 0))
-    if not len(good):
+    good documents reach, or the one above it where lost good and kept bad documents cost least. Rows of one score are counted,
+    and the counts cumulated in many tasks; the driver sees a few of these rows."""
+    if isinstance(held_out, pd.DataFrame):
+        held_out = SparkSession.active().createDataFrame(held_out[["y", "score"]].astype(float), "y double, score double")
+    scores = settle(held_out.groupBy("score").agg(*(F.count_if(F.col("y") == v).cast("double").alias(n) for n, v in (("good", 1), ("bad", 0)))))
+    good, bad = (float(v or 0) for v in scores.agg(F.sum("good"), F.sum("bad")).first())
+    if not good:
         return 0.0
-    least = float(np.quantile(good, 1 - settings.keep_share))
-    if least >= settings.top_threshold or not len(bad):
+    below = settle(running_totals(scores, "score", ["good", "bad"], bucket_edges(scores, "score")).select(
+        "score", "good", (F.col("all_good") - F.col("cum_good")).alias("lost"), (F.col("all_bad") - F.col("cum_bad")).alias("gone")))
+    place = (good - 1) * (1 - settings.keep_share)
+    first = np.floor(place)
+    around = {i: r["score"] for r in below.where((F.col("good") > 0) & (F.col("lost") <= first + 1) & (F.col("lost") + F.col("good") > first)).collect()
+              for i in (first, first + 1) if r["lost"] <= i < r["lost"] + r["good"]}
+    least = float(np.quantile([around[first], around.get(first + 1, around[first])], place - first))
+    if least >= settings.top_threshold or not bad:
         return min(settings.top_threshold, least)
-    cuts = np.unique(np.concatenate([[least, settings.top_threshold], good, bad]))
-    cuts = cuts[(cuts >= least) & (cuts <= settings.top_threshold)]
-    lost, kept = np.searchsorted(good, cuts) / len(good), 1 - np.searchsorted(bad, cuts) / len(bad)
-    return float(cuts[np.argmin(settings.good_weight * lost + kept)])
+
+    def cost(lost, gone):
+        return settings.good_weight * (lost / good) + (1 - gone / bad)
+
+    inside = below.where(F.col("score").between(least, settings.top_threshold)).agg(F.min(F.struct(cost(F.col("lost"), F.col("gone")).alias("cost"), "score"))).first()[0]
+    ends = scores.agg(*(F.coalesce(F.sum(F.when(F.col("score") < cut, F.col(n))), F.lit(0.0)) for cut in (least, settings.top_threshold) for n in ("good", "bad"))).first()
+    found = [(cost(*ends[:2]), least), (cost(*ends[2:]), settings.top_threshold)] + ([tuple(inside)] if inside else [])
+    return float(min(found)[1])
 
 
 def _odds(p: Column) -> Column:
@@ -212,15 +258,13 @@ def combined(scored: DataFrame, p: str, host: str, path: str, settings: Quality
     return joined(scored, p, host, path, site_posteriors(stored), settings)
 
 
-def held_out_scores(held_out: pd.DataFrame, posteriors: Posteriors, settings: Quality = Quality()) -> pd.DataFrame:
-    """The held-out rows (y, score), each with its site's posterior."""
-    named = lambda v: v if isinstance(v, str) else None
-    rows = [(float(r.y), float(r.p), named(r.host), named(r.path)) for r in held_out.itertuples()]
-    if not rows:
-        return pd.DataFrame({"y": [], "score": []})
-    some = posteriors[0].sparkSession.createDataFrame(rows, "y double, p double, host string, path string")
-    out, (_, score) = joined(some, "p", "host", "path", posteriors, settings)
-    return out.select("y", F.col(score).alias("score")).toPandas()
+def held_out_scores(held_out: DataFrame | pd.DataFrame, posteriors: Posteriors, settings: Quality = Quality()) -> DataFrame | pd.DataFrame:
+    """The held-out rows (y, score), each with its site's posterior: a table for a table, a frame for a frame."""
+    if isinstance(held_out, pd.DataFrame):
+        table = posteriors[0].sparkSession.createDataFrame(held_out, "y double, p double, host string, path string")
+        return held_out_scores(table, posteriors, settings).toPandas()
+    out, (_, score) = joined(held_out, "p", "host", "path", posteriors, settings)
+    return out.select("y", F.col(score).alias("score"))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, *, host: str = "source", path: str = "lang",
@@ -231,9 +275,9 @@ def quality_report(docs: DataFrame, labels: DataFrame, *, host: str = "source",
     hosts and paths are sites of their own. A text without words has all features zero and is
     judged by them. Rows without labels are scored as all others; repeated rows stay.
     """
-    model, held_out = fit_classifier(docs, labels, settings, host=host, path=path)
-    scored = settle(docs.select("doc_id", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"),
-                                model.column(F.col("text")).alias("p")))
+    known = settle(docs.select("doc_id", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), shapes(F.col("text")).alias("x")))
+    model, held_out = fit_classifier(known, labels, settings, host="host", path="path", shaped="x")
+    scored = settle(known.select("doc_id", "host", "path", model.column(F.col("x")).alias("p")))
     posteriors = site_posteriors(scored)
     out, (site, score) = joined(scored, "p", "host", "path", posteriors, settings)
     cut = threshold(held_out_scores(held_out, posteriors, settings), settings)
@@ -244,12 +288,17 @@ def quality_report(docs: DataFrame, labels: DataFrame, *, host: str = "source",
 def keep_good(docs: DataFrame, corpus: DataFrame, labels: DataFrame, *, host: str = "source", path: str = "lang",
               settings: Quality = Quality()) -> DataFrame:
     """The documents that are not rejected; columns as they came. ``corpus``: where the labelled
-    documents are found. The documents are stored with their evidence, so that it is computed once."""
-    model, held_out = fit_classifier(corpus, labels, settings, host=host, path=path)
-    (p,) = fresh(docs, "evidence")
-    scored = settle(docs.withColumn(p, model.column(F.col("text"))))
-    posteriors = site_posteriors(scored.select(
-        F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.col(p).alias("p")))
+    documents are found. The documents are stored with their shapes, so that these are computed once, for the fit too where
+    the corpus is the same table."""
+    p, x = fresh(docs, "evidence", "shapes")
+    stored = settle(docs.withColumn(x, shapes(F.col("text"))))
+    if docs.sameSemantics(corpus):
+        model, held_out = fit_classifier(stored, labels, settings, host=host, path=path, shaped=x)
+    else:
+        model, held_out = fit_classifier(corpus, labels, settings, host=host, path=path)
+    scored = stored.withColumn(p, model.column(F.col(x))).drop(x)
+    posteriors = site_posteriors(settle(scored.select(
+        F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.col(p).alias("p"))))
     out, (_, score) = joined(scored, p, host, path, posteriors, settings)
     cut = threshold(held_out_scores(held_out, posteriors, settings), settings)
     return out.where(F.col(score) >= cut).select(*docs.columns)
