@@ -146,7 +146,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, settings: Quality = Quali
     ``shaped``: a column that holds the documents' :func:`shapes`; without it those of the labelled ones are computed."""
     known = docs.select("doc_id", F.col(host).cast("string").alias("__host"), F.col(path).cast("string").alias("__path"),
                         F.col(shaped or "text").alias("__of"))
-    found = _with_labels(known, labels_of(labels, "quality")).withColumn("x", F.col("__of") if shaped else shapes(F.col("__of")))
+    found = _with_labels(known, labels_of(labels, "quality").hint("merge")).withColumn("x", F.col("__of") if shaped else shapes(F.col("__of")))
     rows = settle(found.select("doc_id", F.col("y").cast("double").alias("y"), F.col("__host").alias("host"), F.col("__path").alias("path"),
                                (seeded(F.col("doc_id"), settings.seed + 1) < 0.5).alias("fit"), "x").sortWithinPartitions("doc_id"))
     fitted = rows.where("fit").select("x", "y")

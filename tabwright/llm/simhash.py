@@ -126,9 +126,9 @@ def links(distinct: DataFrame, settings: SimHash = SimHash()) -> DataFrame:
     shared = tables.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / block)
     mine = F.pmod(F.xxhash64("fp", F.lit("block")), blocks)
-    # block i meets every block j in the group (smaller, larger)
+    # block i meets every block j in the group (smaller, larger); Spark takes the exploded rows for no larger than the table
     grouped = (
-        tables.join(shared, "key")
+        tables.hint("merge").join(shared, "key")
         .select("key", "fp", mine.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"))
         .groupBy("key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
         .agg(F.collect_list("fp").alias("members"))
@@ -342,8 +342,8 @@ def candidate_links(distinct: DataFrame, settings: NearCopies) -> DataFrame:
     shared = tables.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / settings.block)
     mine = F.pmod(F.xxhash64("fp", F.lit("block")), blocks)
-    # block i meets every block j in the group (smaller, larger)
-    grouped = (tables.join(shared, "key")
+    # block i meets every block j in the group (smaller, larger); Spark takes the exploded rows for no larger than the table
+    grouped = (tables.hint("merge").join(shared, "key")
                .select("key", "fp", mine.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"))
                .groupBy("key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).agg(F.collect_list("fp").alias("members"))
                .where(F.size("members") > 1).select("members"))
@@ -380,7 +380,7 @@ def unjoined_links(nodes: DataFrame, between: DataFrame, roots: DataFrame, sets:
     """
     radius, least = settings.radius, settings.similarity
     near = between.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")).distinct()
-    named = settle(nodes.select("node", "fp").join(near, "fp").join(roots, "node", "left").join(sets.select("node", "size", "sketch"), "node").select(
+    named = settle(nodes.select("node", "fp").join(near.hint("merge"), "fp").join(roots, "node", "left").join(sets.select("node", "size", "sketch"), "node").select(
         "node", "fp", F.coalesce("root", "node").alias("root"), "size", "sketch"))
     masks = two_level_masks(radius, settings.parts)
     tables = named.select("node", "fp", "root", "size", "sketch", F.explode(F.array(*(
@@ -389,7 +389,7 @@ def unjoined_links(nodes: DataFrame, between: DataFrame, roots: DataFrame, sets:
     shared = tables.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("mask", "key", "n")
     blocks = F.ceil(F.col("n") / settings.block)
     mine = F.pmod(F.xxhash64("node", F.lit("block")), blocks)
-    grouped = (tables.join(shared, ["mask", "key"])
+    grouped = (tables.hint("merge").join(shared, ["mask", "key"])  # as in candidate_links
                .select("mask", "key", "node", "fp", "root", "size", "sketch", mine.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"))
                .groupBy("mask", "key", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
                .agg(F.collect_list(F.struct("fp", "node", "root", "i", "size", "sketch")).alias("m"))
@@ -483,7 +483,7 @@ def drop_near_copies(docs: DataFrame, *, id_column: str = "doc_id", text: str =
 def _sets(keyed: DataFrame, key: str, digest: str, text: str, nodes: DataFrame, proposed: DataFrame, settings: NearCopies) -> DataFrame:
     """Of each node that has a link its shingle set, the size of that and its sketch, stored. One row of its text gives them."""
     linked = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(linked, "node", "left_semi").select("node", F.col("one.k").alias("k"), F.col("one.h").alias("h"))
+    wanted = nodes.join(linked.hint("merge"), "node", "left_semi").select("node", F.col("one.k").alias("k"), F.col("one.h").alias("h"))
     width = settings.shingle
 
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

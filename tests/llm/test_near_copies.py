@@ -142,3 +142,15 @@ def test_sketches_exclude_no_link():
             found += 1
             assert s <= 1
     assert found > 100 and (share > 1).sum() > 20
+
+
+def test_exploded_fingerprints_are_not_broadcast(spark):
+    """Spark takes a table for no larger than before its rows are exploded, 31-fold and more."""
+    prints = table(spark, [(i * 0x9E3779B9, i, None) for i in range(50)], "fp long, node long, root long").select("fp", "node").cache()
+    edges = table(spark, [(0, 0x9E3779B9)], "a long, b long")
+    sets = prints.selectExpr("node", "CAST(NULL AS binary) AS set", "1L AS size", "CAST('0000' AS binary) AS sketch").cache()
+    roots = table(spark, [(1, 0)], "node long, root long")
+    settings = simhash.NearCopies()
+    for found in (simhash.links(prints.select("fp")), simhash.candidate_links(prints.select("fp"), settings), simhash.unjoined_links(prints, edges, roots, sets, settings)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
