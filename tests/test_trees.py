@@ -4,6 +4,7 @@ import time
 from dataclasses import replace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -232,3 +233,30 @@ def test_a_table_of_one_part_is_stored_in_as_many_as_there_are_cores(spark):
     held = trees.tree_table(table(spark, *rows_of(400), parts=1), TreeParams())
     assert held.packed.rdd.getNumPartitions() >= 2
     assert sum(r["n"] for r in held.packed.select("n").collect()) == 400
+
+
+def test_edges_are_exact_quantiles(spark):
+    draw = np.random.default_rng(3)
+    x = np.column_stack([draw.integers(0, 900, 120_000) ** 2 / 7, draw.integers(0, 3, 120_000)])
+    frame = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1].astype(float), "label": (x[:, 0] > 9).astype(float)}))
+    table = trees.tree_table(frame.select(F.array("a", "b").alias("features"), "label"), TreeParams(bins=8))
+    form = table.form
+
+    def read(blocks, schema):
+        return table.packed.mapInArrow(lambda batches: blocks((b for batch in batches for b in trees._blocks(batch, np.array([0, 1]), form, None)), form), schema)
+
+    found = trees._edges(read, len(x), np.array([0, 1]), form, table.params)
+    at = np.ceil(np.arange(1, 8) / 8 * len(x)).astype(int) - 1
+    assert all((e == np.unique(np.sort(x[:, f])[at])).all() for f, e in enumerate(found))
+
+
+def test_rows_of_nodes_are_those_that_end_there():
+    draw = np.random.default_rng(5)
+    columns = draw.integers(0, 9, (3, 500))
+    feature, left, right = np.array([0, 1, -1, 2, -1, -1, -1]), np.array([1, 3, -1, 5, -1, -1, -1]), np.array([2, 4, -1, 6, -1, -1, -1])
+    route = (feature, np.array([4, 3, 0, 6, 0, 0, 0]), left, right)
+    at, rows = trees._routed(columns.T, route), np.flatnonzero(draw.random(500) < 0.6)
+    for wanted in ([2], [4, 6], [5], [2, 4, 5, 6], []):
+        needed = trees._needed(route, np.isin(np.arange(7), wanted))
+        found = dict(trees._rows_of_nodes(columns, route, needed, rows))
+        assert sorted(found) == wanted and all((found[n] == rows[at[rows] == n]).all() for n in wanted)
